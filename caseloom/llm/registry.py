@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caseloom.llm import chat, exact_dedup, quality, sharding, urls
+from caseloom.llm import chat, exact_dedup, line_dedup, quality, sharding, urls
 
-_MODULES = (chat, exact_dedup, sharding, quality, urls)
+_MODULES = (chat, exact_dedup, sharding, line_dedup, quality, urls)
 
 
 def queries() -> dict:
