@@ -10,6 +10,7 @@ The order changes the time, never the verdict: a text stays if no rule fires.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,8 @@ WINDOW = 3
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
+#: Up to so many different repeated windows are looked up one by one.
+FEW = 24
 
 
 def words_of(text: Column) -> Column:
@@ -31,18 +34,26 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE + "+"), "")
 
 
-def _n_dup_lines(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-    # Bound through a one-element array, so that it is computed once.
-    return F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long")
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, as a lambda's variable."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _lines_with_words(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+
+
+def _n_dup(lines: Column) -> Column:
+    return F.size(lines) - F.size(F.array_distinct(lines))
 
 
 def _n_repeat_words(words: Column) -> Column:
     """Words inside a window of three words that occurs at least twice.
 
     Windows are compared by a 64-bit hash within one text. Texts without a
-    repeated window, the most, end after a hash-set pass; others sort their
-    (hash, position) pairs, so cost is n log n for any text.
+    repeated window end after a hash-set pass. Few different repeated windows
+    are looked up one by one; many are found by sorting (hash, position)
+    pairs, so cost is n log n at most for any text.
     """
     n = F.size(words)
     grams = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))).otherwise(F.array().cast("array<bigint>"))
@@ -51,17 +62,23 @@ def _n_repeat_words(words: Column) -> Column:
         start = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n"))
         return F.aggregate(at, start, lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n")), lambda acc: acc["n"])
 
-    def repeated(pairs: Column) -> Column:
+    def by_sort(pairs: Column) -> Column:
         last = F.size(pairs) - 1
         same = lambda j, k: F.get(pairs, j)["g"] == F.get(pairs, k)["g"]
         flagged = F.transform(F.sequence(F.lit(0), last), lambda j: F.when(((j > 0) & same(j, j - 1)) | ((j < last) & same(j, j + 1)), F.get(pairs, j)["i"]))
         return covered(F.sort_array(F.array_compact(flagged)))
 
+    def repeated(sorted_grams: Column) -> Column:
+        shifted = F.slice(sorted_grams, 2, F.size(sorted_grams))
+        return F.array_distinct(F.array_compact(F.zip_with(sorted_grams, shifted, lambda a, b: F.when(a == b, a))))
+
     def count(g: Column) -> Column:
+        by_lookup = lambda d: covered(F.array_compact(F.transform(g, lambda x, i: F.when(F.array_contains(d, x), i))))
         pairs = F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("g"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(F.transform(F.array(pairs), repeated)[0])
+        hot = bound(bound(F.sort_array(g), repeated), lambda d: F.when(F.size(d) <= FEW, by_lookup(d)).otherwise(bound(pairs, by_sort)))
+        return F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(hot)
 
-    return F.transform(F.array(grams), count)[0].cast("long")
+    return bound(grams, count).cast("long")
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,60 +95,77 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("body", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        _n_dup_lines(F.col("body")).alias("n_dup_lines"),
+        bound(_lines_with_words(F.col("body")), _n_dup).cast("long").alias("n_dup_lines"),
         _n_repeat_words(F.col("words")).alias("n_repeat_words"),
     )
 
 
-@dataclass(frozen=True)
-class Rule:
-    """``rejects(text)`` is a Boolean column, never null."""
+class Text:
+    """What rules see of a text: the text and its words, figures on demand.
 
-    name: str
-    rejects: object
+    ``known`` has columns with figures that are already there.
+    """
 
+    def __init__(self, body: Column, words: Column | None = None, **known: Column):
+        self.body, self.words, self.known = body, words, known
 
-def _share_over(text: Column, pattern: str, of: str, per_cent: int) -> Column:
-    """Whether matches of ``pattern`` are over ``per_cent`` of matches of ``of``."""
-    return F.regexp_count(text, F.lit(pattern)) * 100 > F.regexp_count(text, F.lit(of)) * per_cent
+    def _get(self, name: str, make) -> Column:
+        return self.known[name] if name in self.known else make()
 
+    @property
+    def n_words(self) -> Column:
+        return self._get("n_words", lambda: F.size(self.words))
 
-def _lines_repeat(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-    return F.transform(F.array(lines), lambda x: (F.size(x) - F.size(F.array_distinct(x))) * 100 > F.size(x) * 60)[0]
+    @property
+    def word_chars(self) -> Column:
+        return self._get("word_chars", lambda: F.length(F.array_join(self.words, "")))
 
+    @property
+    def n_symbols(self) -> Column:
+        return self._get("n_symbols", lambda: F.regexp_count(self.body, F.lit(SYMBOLS)))
 
-def _mean_word(text: Column) -> Column:
-    n = F.regexp_count(text, F.lit(WORD + "+"))
-    chars = F.regexp_count(text, F.lit(WORD))
-    return (chars > n * 25) | (chars < n * 2)
+    @property
+    def n_repeat_words(self) -> Column:
+        return self._get("n_repeat_words", lambda: _n_repeat_words(self.words))
+
+    def count(self, pattern: str) -> Column:
+        return F.regexp_count(self.body, F.lit(pattern))
+
+
+@dataclass(frozen=True)
+class Rule:
+    """``rejects(text: Text)`` is a Boolean column, never null."""
+
+    name: str
+    rejects: Callable[[Text], Column]
 
 
 #: Besides the base rules; all are far from what clean prose of any language shows.
 RULES = (
-    Rule("symbols", lambda t: _share_over(t, SYMBOLS, WORD + "+", 10)),
-    Rule("capitals", lambda t: _share_over(t, r"\p{Lu}", r"\p{L}", 40)),
-    Rule("shouting", lambda t: _share_over(t, "!", WORD + "+", 50)),
-    Rule("digits", lambda t: _share_over(t, "[0-9]", WORD, 40)),
-    Rule("repeated_lines", _lines_repeat),
-    Rule("word_length", _mean_word),
+    Rule("symbols", lambda t: t.n_symbols * 100 > t.n_words * 10),
+    Rule("capitals", lambda t: t.count(r"\p{Lu}") * 100 > t.word_chars * 40),
+    Rule("shouting", lambda t: t.count("!") * 100 > t.n_words * 50),
+    Rule("digits", lambda t: t.count("[0-9]") * 100 > t.word_chars * 40),
+    Rule("repeated_lines", lambda t: bound(_lines_with_words(t.body), lambda x: _n_dup(x) * 100 > F.size(x) * 60)),
+    Rule("word_length", lambda t: (t.word_chars > t.n_words * 25) | (t.word_chars < t.n_words * 2)),
 )
 BASE_RULES = (
-    Rule("few_words", lambda t: F.size(words_of(t)) < MIN_WORDS),
-    Rule("repeated_words", lambda t: F.transform(F.array(words_of(t)), lambda w: _n_repeat_words(w) * 100 > F.size(w) * 50)[0]),
+    Rule("few_words", lambda t: t.n_words < MIN_WORDS),
+    Rule("repeated_words", lambda t: t.n_repeat_words * 100 > t.n_words * 50),
 )
 
 
 def cascade_order(texts: DataFrame, rules: tuple[Rule, ...], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Rules by rejection per cost on the first ``sample_rows`` of column body."""
     sample = texts.select("body").limit(sample_rows).persist()
+    hits = lambda rules: [F.count(F.when(verdict(F.col("body"), [r]).isNotNull(), 1)) for r in rules]
     try:
-        n, *hits = sample.select(F.count(F.lit(1)), *(F.count(F.when(r.rejects(F.col("body")), 1)) for r in rules)).first()
+        n, *found = sample.select(F.count(F.lit(1)), *hits(rules)).first()
         if not n:
             return list(rules)
         scores = []
-        for k, (rule, hit) in enumerate(zip(rules, hits, strict=True)):
-            job = sample.select(F.count(F.when(rule.rejects(F.col("body")), 1)))
+        for k, (rule, hit) in enumerate(zip(rules, found, strict=True)):
+            job = sample.select(*hits([rule]))
             job.first()  # compiles
             began = time.perf_counter()
             job.first()
@@ -141,13 +175,18 @@ def cascade_order(texts: DataFrame, rules: tuple[Rule, ...], sample_rows: int =
     return [rules[k] for _, k in sorted(scores)]
 
 
-def verdict(text: Column, rules: list[Rule]) -> Column:
+def verdict(body: Column, rules: list[Rule], **known: Column) -> Column:
     """Name of the first rule that rejects, else null; later rules are not evaluated."""
-    chain = None
-    for rule in rules:
-        hit = rule.rejects(text)
-        chain = F.when(hit, F.lit(rule.name)) if chain is None else chain.when(hit, F.lit(rule.name))
-    return chain if chain is not None else F.lit(None).cast("string")
+
+    def chain(text: Text) -> Column:
+        out = F.lit(None).cast("string")
+        for rule in reversed(rules):
+            out = F.when(rule.rejects(text), F.lit(rule.name)).otherwise(out)
+        return out
+
+    if known:
+        return chain(Text(body, **known))
+    return bound(words_of(body), lambda words: chain(Text(body, words)))
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -160,7 +199,8 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     order = cascade_order(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("body")), rules, sample_rows)
     base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     rows = rows.withColumn("base_failed", base)
-    kept = F.when(F.col("base_failed"), False).when(verdict(F.col("body"), order).isNotNull(), False).otherwise(True)
+    known = {name: F.col(name) for name in ("n_words", "word_chars", "n_symbols", "n_repeat_words")}
+    kept = F.when(F.col("base_failed"), False).when(verdict(F.col("body"), order, **known).isNotNull(), False).otherwise(True)
     return rows.select(F.col("row_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
 
 
@@ -201,7 +241,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words
             OR n_symbols * 100 > n_words * 10
-            OR len(regexp_extract_all(body, '\p{Lu}')) * 100 > len(regexp_extract_all(body, '\p{L}')) * 40
+            OR len(regexp_extract_all(body, '\p{Lu}')) * 100 > word_chars * 40
             OR (length(body) - length(translate(body, '!', ''))) * 100 > n_words * 50
             OR len(regexp_extract_all(body, '[0-9]')) * 100 > word_chars * 40
             OR n_dup_lines * 100 > len(lines) * 60
