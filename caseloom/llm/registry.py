@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caseloom.llm import chat, exact_dedup, line_dedup, packing, quality, sharding, urls
+from caseloom.llm import bpe, chat, exact_dedup, line_dedup, packing, quality, sharding, urls
 
-_MODULES = (chat, exact_dedup, sharding, line_dedup, packing, quality, urls)
+_MODULES = (chat, exact_dedup, bpe, sharding, line_dedup, packing, quality, urls)
 
 
 def queries() -> dict:
