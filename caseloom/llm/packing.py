@@ -14,10 +14,12 @@ is left at the end of a task closes its last bin.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -47,13 +49,14 @@ class Encoder:
 
     The tokenizer never lets a token span white space, and its normaliser acts
     within words, so a text's ids are those of its words (split at the six
-    ASCII white-space bytes) in a row. Each distinct word goes to the library
-    once. The cache is emptied at ``max_words``; that only costs time.
+    ASCII white-space bytes) in a row. Words go to the library when they are
+    new. The cache has two generations of about ``max_words``, so that words
+    in use survive and memory stays bounded.
     """
 
     _TAIL = b",.;:!?"
 
-    def __init__(self, path: str, max_words: int = 250_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -64,6 +67,7 @@ class Encoder:
         self.is_end = np.zeros(max(vocab.values()) + 1, bool)
         self.is_end[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.max_words = max_words
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -79,7 +83,7 @@ class Encoder:
         out: list[bytes] = []
         for i in range(0, len(words), 1000):
             some = words[i : i + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) == len(some) and (not len(ids) or ends[-1] == len(ids)):
                 raw, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
@@ -90,37 +94,52 @@ class Encoder:
 
     def _learn(self, missing: set[bytes]) -> None:
         """Cache ids of words; a tail of ASCII punctuation is a token run of its own."""
-        letters, others, split = {}, [], {}
-        for w in missing:
-            core = w.rstrip(self._TAIL)
-            text = core.decode()
-            if not text.isalpha():
-                others.append(w)
-                continue
-            if core not in self.words:
-                letters[core] = text
-            if core != w:
-                split[w] = core, w[len(core) :]
-        others += {tail for _, tail in split.values()} - self.words.keys()
-        self.words |= zip(others, self._ids([w.decode() for w in others]), strict=True)
-        self.words |= zip(letters, self._word_ids(list(letters.values())), strict=True)
-        self.words |= {w: self.words[core] + self.words[tail] for w, (core, tail) in split.items()}
+        words = self.words
+        plain, texts, rest, _ = _letters(list(missing))
+        cores = list(map(bytes.rstrip, rest, repeat(self._TAIL)))
+        _, _, _, fine = _letters(cores)
+        tailed = [(w, c) for w, c, ok in zip(rest, cores, fine, strict=True) if ok]
+        new, new_texts, _, _ = _letters(list({c for _, c in tailed}.difference(words, plain)))
+        others = [w for w, ok in zip(rest, fine, strict=True) if not ok]
+        others += {w[len(c) :] for w, c in tailed}.difference(words)
+        words |= zip(others, self._ids([w.decode() for w in others]), strict=True)
+        words |= zip(chain(plain, new), self._word_ids(texts + new_texts), strict=True)
+        for w, c in tailed:
+            words[w] = words[c] + words[w[len(c) :]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if not self.by_word:
             return self._ids(texts)
+        gc.disable()  # nothing here is cyclic, and lists of all words are long to scan
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > self.max_words:
-            self.words = {}
+            self.words, self.old = {}, self.words
         raw = [t.encode() for t in texts]
         split = [(b.lower() if b.isascii() else b).split() for b in raw]
-        missing = set().union(*split) - self.words.keys()
+        missing = set().union(*split).difference(self.words)
+        if self.old:
+            known = missing.intersection(self.old)
+            self.words |= zip(known, map(self.old.__getitem__, known))
+            missing -= known
         if missing:
             self._learn(missing)
         get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
 
+def _letters(words: list[bytes]) -> tuple[list[bytes], list[str], list[bytes], list[bool]]:
+    """Words of letters only, the same as text, the other words, and which is which."""
+    texts = b" ".join(words).decode().split(" ") if words else []
+    fine = list(map(str.isalpha, texts))
+    return list(compress(words, fine)), list(compress(texts, fine)), [w for w, ok in zip(words, fine, strict=True) if not ok], fine
+
+
 def _splits_at_space(path: str) -> bool:
     """Whether the tokenizer drops white space and lower-cases, as ``Encoder`` needs."""
     spec = json.load(open(path, encoding="utf-8"))
@@ -139,7 +158,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
         encoder = Encoder(path)
         for batch in batches:
             ids, texts = batch["row_id"], batch["body"].tolist()
-            for lo, hi in _spans(texts, 2 << 20):
+            for lo, hi in _spans(texts, 4 << 20):
                 yield pd.DataFrame({"row_id": ids.iloc[lo:hi].array, "ids": [x + end for x in encoder.encode(texts[lo:hi])]})
 
     kind = rows.schema["row_id"].dataType.simpleString()
