@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caseloom.llm import bpe, chat, exact_dedup, line_dedup, minhash, packing, quality, sharding, urls
+from caseloom.llm import bpe, chat, exact_dedup, licenses, line_dedup, minhash, packing, quality, sharding, urls
 
-_MODULES = (chat, exact_dedup, bpe, sharding, line_dedup, minhash, packing, quality, urls)
+_MODULES = (chat, exact_dedup, bpe, sharding, line_dedup, minhash, packing, quality, licenses, urls)
 
 
 def queries() -> dict:
