@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from caseloom.plans import base, graph_plans, text_plans  # noqa: F401
+
 
 def queries() -> dict:
-    return {}
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(base.ORACLE_SQL)

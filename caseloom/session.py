@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,3 +38,11 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def values(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+    """A configuration-sized table from literals, without a Python source."""
+    if not rows:
+        raise ValueError("no rows")
+    structs = [F.struct(*(F.lit(v).alias(n) for v, n in zip(row, names, strict=True))) for row in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("v")).select(*(F.col(f"v.{n}").alias(n) for n in names))
