@@ -11,6 +11,7 @@ come up. So a pre-token of n bytes costs about n log n, however long it is.
 from __future__ import annotations
 
 import base64
+import gc
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -21,11 +22,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.llm.common import kept_in_process
 from caseloom.session import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 _BLOCK = 8  # bits of a rank within its block
 _LOW = (1 << _BLOCK) - 1
+_BITS = [1 << i for i in range(1 << _BLOCK)]
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -53,7 +56,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                 buckets[rank] = i
                 block = rank >> _BLOCK
                 top |= 1 << block
-                blocks[block] = blocks.get(block, 0) | 1 << (rank & _LOW)
+                blocks[block] = blocks.get(block, 0) | _BITS[rank & _LOW]
             elif type(held) is int:
                 buckets[rank] = [held, i] if held < i else [i, held]
             else:
@@ -164,11 +167,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     rows = docs.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = Bpe(path, pattern)
+        bpe = kept_in_process(("bpe", path, pattern), lambda: Bpe(path, pattern))
         for batch in batches:
             keys, texts = batch["row_id"], batch["body"].tolist()
-            for lo, hi in _by_size(texts, 2 << 20):
-                yield pd.DataFrame({"row_id": keys.iloc[lo:hi].array, "ids": [bpe.encode(t) for t in texts[lo:hi]]})
+            for lo, hi in _by_size(texts, 4 << 20):
+                gc.disable()  # nothing here is cyclic; scanning the caches again and again is slow
+                ids = [bpe.encode(t) for t in texts[lo:hi]]
+                gc.enable()
+                yield pd.DataFrame({"row_id": keys.iloc[lo:hi].array, "ids": ids})
 
     kind = rows.schema["row_id"].dataType.simpleString()
     return rows.mapInPandas(run, f"row_id {kind}, ids binary").withColumnRenamed("row_id", id_col)
@@ -180,7 +186,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", pat
     rows = encoded.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = Bpe(path)
+        bpe = kept_in_process(("bpe", path, public_tokenizers.PATTERN), lambda: Bpe(path))
         for batch in batches:
             keys, ids = batch["row_id"], batch["ids"].tolist()
             for lo, hi in _by_size(ids, 8 << 20):
