@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseloom.plans import base, graph_plans, text_plans  # noqa: F401
+from caseloom.plans import base, graph_plans, semantic_plans, text_plans  # noqa: F401
 
 
 def queries() -> dict:
