@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.llm.common import kept_in_process
 from caseloom.session import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -56,7 +57,7 @@ class Encoder:
 
     _TAIL = b",.;:!?"
 
-    def __init__(self, path: str, max_words: int = 300_000):
+    def __init__(self, path: str, max_words: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -148,23 +149,46 @@ def _splits_at_space(path: str) -> bool:
     return steps == ["NFC", "Replace", "Lowercase"] and pre.get("behavior") == "Removed" and pre.get("invert") is True and r"[^\s\p{L}\p{N}]+" in pre.get("pattern", {}).get("Regex", "")
 
 
+def _encoded(batches: Iterator[pd.DataFrame], path: str, end_id: int) -> Iterator[tuple]:
+    """(id, ids) of (row_id, body) batches, a few megabytes at a time."""
+    encoder = kept_in_process(("word-encoder", path), lambda: Encoder(path))
+    end = np.array([end_id], "<u4").tobytes()
+    for batch in batches:
+        keys, texts = batch["row_id"].tolist(), batch["body"].tolist()
+        for lo, hi in _spans(texts, 4 << 20):
+            for key, ids in zip(keys[lo:hi], encoder.encode(texts[lo:hi]), strict=True):
+                yield key, ids + end
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+
+
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """(id, ids): a text's ids and ``end_id``, little-endian uint32 bytes. Null is empty."""
     path = path or public_tokenizers.path(TOKENIZER)
-    rows = docs.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    end = np.array([end_id], "<u4").tobytes()
+    rows = _texts(docs, id_col, text_col)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
-        for batch in batches:
-            ids, texts = batch["row_id"], batch["body"].tolist()
-            for lo, hi in _spans(texts, 4 << 20):
-                yield pd.DataFrame({"row_id": ids.iloc[lo:hi].array, "ids": [x + end for x in encoder.encode(texts[lo:hi])]})
+        yield from _frames(_encoded(batches, path, end_id), ["row_id", "ids"], 1)
 
     kind = rows.schema["row_id"].dataType.simpleString()
     return rows.mapInPandas(run, f"row_id {kind}, ids binary").withColumnRenamed("row_id", id_col)
 
 
+def _frames(rows: Iterable[tuple], columns: list[str], heavy: int) -> Iterator[pd.DataFrame]:
+    """Rows in frames of bounded bytes; ``heavy`` is the position of the bytes."""
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += len(row[heavy])
+        if size > 4 << 20 or len(out) >= 5000:
+            yield pd.DataFrame(out, columns=columns)
+            out, size = [], 0
+    if out:
+        yield pd.DataFrame(out, columns=columns)
+
+
 def _spans(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``chars`` characters, so that a batch stays small."""
     lo = held = 0
@@ -252,6 +276,31 @@ class Packer:
             yield from self._fill()
 
 
+_PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+_COLUMNS = ["row_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+
+
+def _pieces(examples: Iterable[tuple], limits: Limits, pool: int) -> Iterator[tuple]:
+    """(id, ids, loss_start) in a task's order to rows of pieces."""
+    packer, base = Packer(limits, pool), TaskContext.get().partitionId() << 32
+    held: dict[int, list] = {}  # examples with tokens not placed yet
+
+    def rows_of(pieces: Iterable[tuple]) -> Iterator[tuple]:
+        for k, s, n, seq, at in pieces:
+            key, ids, left = held[k]
+            yield key, s, n, ids[4 * s : 4 * (s + n)], len(ids) // 4, base + seq, at
+            if left == n:
+                del held[k]
+            else:
+                held[k][2] = left - n
+
+    for key, ids, loss_start in examples:
+        if ids:
+            held[packer.examples] = [key, ids, len(ids) // 4]
+            yield from rows_of(packer.add(len(ids) // 4, int(loss_start)))
+    yield from rows_of(packer.finish())
+
+
 def pack(examples: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", loss_col: str | None = None, limits: Limits = Limits(), pool: int = 512) -> DataFrame:
     """Pieces: id, start, length, ids (of the piece), doc_tokens, sequence_id, offset.
 
@@ -261,46 +310,26 @@ def pack(examples: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", loss
     sequence number holds the task's number, so it is unique in the result.
     """
     rows = examples.select(F.col(id_col).alias("row_id"), F.col(ids_col).alias("ids"), (F.coalesce(F.col(loss_col), F.lit(0)) if loss_col else F.lit(0)).cast("long").alias("loss_start"))
-    columns = ["row_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packer, base = Packer(limits, pool), TaskContext.get().partitionId() << 32
-        held: dict[int, list] = {}  # examples with tokens not placed yet
-
-        def rows_of(pieces: Iterable[tuple]) -> Iterator[tuple]:
-            for k, s, n, seq, at in pieces:
-                key, ids, left = held[k]
-                yield key, s, n, ids[4 * s : 4 * (s + n)], len(ids) // 4, base + seq, at
-                if left == n:
-                    del held[k]
-                else:
-                    held[k][2] = left - n
-
-        def stream() -> Iterator[tuple]:
-            for batch in batches:
-                for key, ids, loss_start in batch.itertuples(index=False, name=None):
-                    if ids:
-                        held[packer.examples] = [key, ids, len(ids) // 4]
-                        yield from rows_of(packer.add(len(ids) // 4, int(loss_start)))
-            yield from rows_of(packer.finish())
-
-        out, size = [], 0
-        for row in stream():
-            out.append(row)
-            size += len(row[3])
-            if size > 4 << 20 or len(out) >= 5000:
-                yield pd.DataFrame(out, columns=columns)
-                out, size = [], 0
-        if out:
-            yield pd.DataFrame(out, columns=columns)
+        examples = (row for batch in batches for row in batch.itertuples(index=False, name=None))
+        yield from _frames(_pieces(examples, limits, pool), _COLUMNS, 3)
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"row_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long").withColumnRenamed("row_id", id_col)
+    return rows.mapInPandas(run, f"row_id {kind}, {_PIECES}").withColumnRenamed("row_id", id_col)
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits(), path: str | None = None) -> DataFrame:
-    """Tokenise and pack documents; see ``tokenize`` and ``pack``."""
-    return pack(tokenize(docs, id_col, text_col, path), id_col, limits=limits)
+def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits(), path: str | None = None, end_id: int = END_ID, pool: int = 512) -> DataFrame:
+    """``tokenize`` and ``pack`` in one pass over the texts: all tokens bear loss."""
+    path = path or public_tokenizers.path(TOKENIZER)
+    rows = _texts(docs, id_col, text_col)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        examples = ((key, ids, 0) for key, ids in _encoded(batches, path, end_id))
+        yield from _frames(_pieces(examples, limits, pool), _COLUMNS, 3)
+
+    kind = rows.schema["row_id"].dataType.simpleString()
+    return rows.mapInPandas(run, f"row_id {kind}, {_PIECES}").withColumnRenamed("row_id", id_col)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
