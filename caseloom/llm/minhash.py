@@ -335,7 +335,8 @@ def _few(todo: DataFrame, k: int) -> DataFrame:
 
 def _compare(rows: DataFrame, lead: DataFrame, p: Params) -> DataFrame:
     """(id, lead, d) of members within twice the distance limit of their block's leaders."""
-    parts = rows.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / p.block_rows).alias("parts"))
+    led = rows.join(lead.select("block").distinct(), "block", "left_semi")
+    parts = led.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / p.block_rows).alias("parts"))
     members = rows.join(parts, "block").select("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).alias("part"), F.lit(1).alias("what"), "id", "body")
     leaders = lead.join(parts, "block").select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("what"), "id", "body")
     dealt = members.unionByName(leaders).repartition("block", "part").sortWithinPartitions("block", "part", "what", "id")
