@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from caseloom.plans.base import register
 from caseloom.semantic import parse as sp
+from caseloom.semantic import repair as sp_repair
 from caseloom.session import table
 
 
@@ -44,3 +45,9 @@ def semantic_projection(spark, d):
 @register("semantic_quality_report", f"SELECT CASE WHEN nothing THEN 'rejected' WHEN k = 3 OR k = 2 OR word = '' THEN 'repair_required' WHEN k = 1 THEN 'accepted_with_warnings' ELSE 'accepted' END AS key, count(*) AS n FROM ({_K}) GROUP BY 1")
 def semantic_quality_report(spark, d):
     return sp.quality_report(_records(spark, d)).filter("section = 'status'").select("key", "n")
+
+
+@register("semantic_settled_status", f"""SELECT doc_id, CASE WHEN nothing THEN 'rejected' WHEN k = 3 THEN 'repair_required' WHEN k IN (1, 2) OR word = '' THEN 'accepted_with_warnings' ELSE 'accepted' END AS status FROM ({_K})""")
+def semantic_settled_status(spark, d):
+    """Candidates without evidence are removed, so only cut responses still need repair."""
+    return sp_repair.read_and_settle(_respond(_orders(spark, d))).select("doc_id", "status")
