@@ -108,23 +108,32 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, k: int) -> DataFr
     return df.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("nth") <= k)
 
 
-def content_window(text: Column, markers: tuple[str, ...], budget: int, head: float = 0.3, tail: float = 0.3) -> Column:
-    """Head, current part and tail of a long text within ``budget`` characters.
+def content_window(text: Column, markers: tuple[str, ...], budget: int) -> Column:
+    """Head (30 %), current part (40 %) and tail (30 %) of a text within ``budget`` characters.
 
-    The current part starts at the last of the markers; where it meets the
-    head or the tail it wins. Short texts stay whole; without a marker head
-    and tail share the budget.
+    The current part lies around the last of the markers, a third of it before
+    the marker, and wins where it meets the head or the tail. Short texts stay
+    whole; without a marker the tail has the current part's budget too.
     """
     from caseloom.functions.text import rfind
 
-    n = F.length(text)
-    mark = F.greatest(*(rfind(text, m) for m in markers), F.lit(-1))
-    n_head, n_tail = int(budget * head), int(budget * tail)
-    n_now = budget - n_head - n_tail
-    now_end = F.least(mark + n_now, n)
-    head_end = F.least(F.lit(n_head), mark)
-    tail_start = F.greatest(n - n_tail, now_end)
-    part = lambda a, b: F.substring(text, a + 1, F.greatest(b - a, F.lit(0)))
-    marked = F.concat(part(F.lit(0), head_end), part(mark, now_end), part(tail_start, n))
-    plain = F.concat(F.substring(text, 1, budget - n_tail), part(n - n_tail, n))
-    return F.when(n <= budget, text).when(mark < 0, plain).otherwise(marked)
+    n_head, n_now = budget * 3 // 10, budget * 4 // 10
+    n_tail = budget - n_head - n_now
+
+    def windows(x: Column) -> Column:
+        n = F.length(x)
+        places = F.array(*(F.struct(rfind(x, m).alias("at"), F.lit(-k).alias("k"), F.lit(len(m)).alias("size")) for k, m in enumerate(markers)))
+        part = lambda a, b: F.substring(x, a + 1, F.greatest(b - a, F.lit(0)))
+
+        def around(mark: Column) -> Column:
+            begin = F.greatest(F.lit(0), mark["at"] - n_now // 3)
+            end = F.least(n, begin + n_now)
+            end = F.when((mark["size"] <= n_now) & (mark["at"] + mark["size"] > end), F.least(n, mark["at"] + mark["size"])).otherwise(end)
+            begin = F.greatest(F.lit(0), F.least(begin, end - n_now))
+            whole = F.concat(part(F.lit(0), F.least(F.lit(n_head), begin)), part(begin, end), part(F.greatest(n - n_tail, end), n))
+            edges = F.concat(F.substring(x, 1, n_head), part(n - (budget - n_head), n))
+            return F.when(mark["at"] < 0, edges).otherwise(F.substring(whole, 1, budget))
+
+        return F.when(n <= budget, x).otherwise(F.transform(F.array(F.array_max(places)), around)[0])
+
+    return F.transform(F.array(text), windows)[0]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseloom.functions import text as tx
+from caseloom.functions import view as vw
 from caseloom.operators import evaluation as ev
 from caseloom.operators import profile as pf
 from caseloom.operators import retrieval as rt
@@ -19,6 +20,24 @@ def _body():
 
 _TOKENS = "list_transform(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[0-9]+'), lambda x: lower(x))"
 
+_NUMBER_STEPS = (("long_number", "[0-9]{18,}", "[长数字编号]"), ("numeric_id", "[0-9]{13,17}", "[数字编号]"))
+
+
+def _oracle_redacted() -> str:
+    """Redaction without look-around: bounds are captured, each step runs twice."""
+    out = "coalesce(text, '')"
+    email = "(^|[^A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+((?:[.][A-Za-z0-9-]+)+)"
+    steps = [(email, r"\1[邮箱]")]
+    steps += [(r"(^|[^0-9])0?1[3-9][0-9]{9,10}($|[^0-9])", r"\1[手机号]\2")]
+    steps += [(r"(^|[^A-Za-z0-9])[A-Za-z]{1,6}[0-9]{10,}[A-Za-z0-9]*($|[^A-Za-z0-9])", r"\1[业务编号]\2")]
+    steps += [(r"(^|[^0-9])[0-9]{17}[0-9Xx]($|[^0-9])", r"\1[身份证号]\2")]
+    steps += [(rf"(^|[^0-9]){p}($|[^0-9])", rf"\1{put}\2") for _, p, put in _NUMBER_STEPS]
+    for find, put in steps:
+        for _ in range(2):
+            out = f"regexp_replace({out}, '{find}', '{put}', 'g')"
+    return out
+
+
 # ------------------------------------------------------------------ retrieval
 TERMS = "the er and of"
 
@@ -70,6 +89,14 @@ def bm25_batch_benchmark(spark, d):
     return best.select("query_id", "doc_id", "score", F.col("rank").cast("long").alias("rank"))
 
 
+@register("search_result_view", f"""WITH {bm25_sql(_ONE)}, best AS (SELECT * FROM scored ORDER BY score DESC, doc_id LIMIT 20),
+line AS (SELECT doc_id, score, trim(regexp_replace({{redacted}}, '[[:space:]]+', ' ', 'g')) AS s FROM best JOIN documents USING (doc_id))
+SELECT doc_id, score, CASE WHEN length(s) <= 220 THEN s ELSE substr(s, 1, 217) || '...' END AS snippet FROM line""".replace("{redacted}", _oracle_redacted()))
+def search_result_view(spark, d):
+    best = rt.top_k(_one(spark, d), 20)
+    return vw.snippet(best.join(table(spark, d, "documents").select("doc_id", "text"), "doc_id"), "text").select("doc_id", "score", "snippet")
+
+
 _QUERY_VECTOR = [round(((i * 37) % 64 - 32) / 32, 5) for i in range(64)]
 _COS = f"""v AS (SELECT vec_id AS doc_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e, {_QUERY_VECTOR}::DOUBLE[] AS q FROM embeddings),
 c AS (SELECT doc_id, label, round(list_cosine_similarity(e, q), 6) AS score FROM v)"""
@@ -97,24 +124,6 @@ def topic_analysis_facets(spark, d):
 
 
 # ------------------------------------------------------- cleaning and privacy
-_NUMBER_STEPS = (("long_number", "[0-9]{18,}", "[长数字编号]"), ("numeric_id", "[0-9]{13,17}", "[数字编号]"))
-
-
-def _oracle_redacted() -> str:
-    """Redaction without look-around: bounds are captured, each step runs twice."""
-    out = "coalesce(text, '')"
-    email = "(^|[^A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+((?:[.][A-Za-z0-9-]+)+)"
-    steps = [(email, r"\1[邮箱]")]
-    steps += [(r"(^|[^0-9])0?1[3-9][0-9]{9,10}($|[^0-9])", r"\1[手机号]\2")]
-    steps += [(r"(^|[^A-Za-z0-9])[A-Za-z]{1,6}[0-9]{10,}[A-Za-z0-9]*($|[^A-Za-z0-9])", r"\1[业务编号]\2")]
-    steps += [(r"(^|[^0-9])[0-9]{17}[0-9Xx]($|[^0-9])", r"\1[身份证号]\2")]
-    steps += [(rf"(^|[^0-9]){p}($|[^0-9])", rf"\1{put}\2") for _, p, put in _NUMBER_STEPS]
-    for find, put in steps:
-        for _ in range(2):
-            out = f"regexp_replace({out}, '{find}', '{put}', 'g')"
-    return out
-
-
 @register("redact_documents", f"SELECT doc_id, sha256({_oracle_redacted()}) AS redacted_sha256 FROM documents")
 def redact_documents(spark, d):
     return tx.redact(table(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", F.sha2("text", 256).alias("redacted_sha256"))
@@ -218,13 +227,15 @@ def head_population_drift(spark, d):
 _MARKERS = ("However", "The", "A")
 
 
+_WINDOW = """CASE WHEN n <= 600 THEN x WHEN mark < 0 THEN substr(x, 1, 180) || substr(x, n - 420 + 1, 420)
+ ELSE substr(x, 1, least(180, b)) || substr(x, b + 1, e - b) || substr(x, greatest(n - 180, e) + 1, n - greatest(n - 180, e)) END"""
+
+
 @register("content_window", """WITH t AS (SELECT doc_id, coalesce(text, '') AS x, length(coalesce(text, '')) AS n FROM documents),
-m AS (SELECT *, greatest(-1, """ + ", ".join(f"CASE WHEN strpos(reverse(x), reverse('{m}')) > 0 THEN n - strpos(reverse(x), reverse('{m}')) - {len(m)} + 1 ELSE -1 END" for m in _MARKERS) + """) AS mark FROM t),
-p AS (SELECT *, least(mark + 240, n) AS now_end FROM m)
-SELECT doc_id, length(CASE WHEN n <= 600 THEN x WHEN mark < 0 THEN substr(x, 1, 420) || substr(x, n - 180 + 1, 180)
- ELSE substr(x, 1, greatest(0, least(180, mark))) || substr(x, mark + 1, now_end - mark) || substr(x, greatest(n - 180, now_end) + 1, n - greatest(n - 180, now_end)) END) AS window_chars,
- sha256(CASE WHEN n <= 600 THEN x WHEN mark < 0 THEN substr(x, 1, 420) || substr(x, n - 180 + 1, 180)
- ELSE substr(x, 1, greatest(0, least(180, mark))) || substr(x, mark + 1, now_end - mark) || substr(x, greatest(n - 180, now_end) + 1, n - greatest(n - 180, now_end)) END) AS window_sha256 FROM p""")
+m AS (SELECT *, greatest(-1, """ + ", ".join(f"CASE WHEN strpos(reverse(x), reverse('{m}')) > 0 THEN n - strpos(reverse(x), reverse('{m}')) - {len(m)} + 1 ELSE -1 END" for m in _MARKERS) + f""") AS mark FROM t),
+p AS (SELECT *, least(n, greatest(0, mark - 80) + 240) AS e FROM m),
+q AS (SELECT *, greatest(0, least(greatest(0, mark - 80), e - 240)) AS b FROM p)
+SELECT doc_id, length({_WINDOW}) AS window_chars, sha256({_WINDOW}) AS window_sha256 FROM q""")
 def content_window(spark, d):
     rows = table(spark, d, "documents").select("doc_id", _body().alias("x")).select("doc_id", pf.content_window(F.col("x"), _MARKERS, 600).alias("w"))
     return rows.select("doc_id", F.length("w").cast("long").alias("window_chars"), F.sha2("w", 256).alias("window_sha256"))

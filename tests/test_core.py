@@ -148,7 +148,9 @@ def test_profile_and_sampling(spark):
     assert len({r.id for r in profile.round_robin(df, "id", flags, F.lpad(F.col("id").cast("string"), 3, "0"), 7).collect()}) == 7
     text = "h" * 300 + "NOW" + "c" * 300 + "t" * 300
     row = spark.createDataFrame([(text,), ("short",)], "x string").select(profile.content_window(F.col("x"), ("NOW",), 100)).collect()
-    assert row[0][0] == "h" * 30 + "NOW" + "c" * 37 + "t" * 30 and row[1][0] == "short"
+    assert row[0][0] == "h" * 30 + "h" * 13 + "NOW" + "c" * 24 + "t" * 30 and row[1][0] == "short"
+    edge = spark.createDataFrame([("x" * 60 + "NOW" + "y" * 60,), ("z" * 200,)], "x string").select(profile.content_window(F.col("x"), ("NOW",), 100)).collect()
+    assert edge[0][0] == "x" * 30 + "x" * 13 + "NOW" + "y" * 24 + "y" * 30 and edge[1][0] == "z" * 100
 
 
 def test_evaluation(spark):
@@ -218,3 +220,17 @@ def test_catalogue_is_whole():
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_views(spark):
+    from caseloom.functions import view
+
+    meta = "struct<service_object_type:string,area_code_city:string,area_code_area:string,area_code_street:string,type1:string,type2:string,type3:string,call_month:string>"
+    row = spark.createDataFrame([("d", 1.0, "a\n 13812345678 " + "b" * 300, ("x", "", "武进区", None, "t1", "", "", "2024-01"))], f"doc_id string, score double, text string, metadata {meta}")
+    got = view.safe_payload(row).first()
+    assert got.snippet.startswith("a [手机号] bbb") and len(got.snippet) == 220 and got.snippet.endswith("...")
+    assert got.metadata == {"service_object_type": "x", "area_code_area": "武进区", "type1": "t1", "call_month": "2024-01"}
+    assert row.select(view.metadata_summary()).first()[0] == "武进区 | t1 | 2024-01"
+    texts = [(" given ", "x"), (None, "标题：t\n 诉求内容：c\n诉求目标：g"), ("", " all ")]
+    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "i int, e string, t string").orderBy("i")
+    assert [r[0] for r in rows.select(view.embedding_text(F.col("e"), F.col("t"))).collect()] == ["given", "诉求内容：c\n诉求目标：g", "all"]
