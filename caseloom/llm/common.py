@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def kept_in_process(key: Hashable, make: Callable[[], object]):
@@ -16,3 +20,31 @@ def kept_in_process(key: Hashable, make: Callable[[], object]):
     if key not in store:
         store[key] = make()
     return store[key]
+
+
+def rows_of(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple]:
+    """Rows of Arrow batches as tuples; only ``step`` rows are Python objects at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, step):
+            yield from zip(*(c.to_pylist() for c in batch.slice(lo, step).columns), strict=True)
+
+
+def batches_of(rows: Iterable[tuple], names: list[str], types: list[pa.DataType], heavy: int | None = None, limit: int = 4 << 20, most: int = 5000) -> Iterator[pa.RecordBatch]:
+    """Tuples as Arrow batches of bounded size; ``heavy`` is the position of the large value, if any."""
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += len(row[heavy]) if heavy is not None else 0
+        if size > limit or len(out) >= most:
+            yield _batch(out, names, types)
+            out, size = [], 0
+    if out:
+        yield _batch(out, names, types)
+
+
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+
+def arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    return to_arrow_type(df.schema[column].dataType)

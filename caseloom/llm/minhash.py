@@ -29,11 +29,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from caseloom.llm.common import batches_of, rows_of
 from caseloom.session import settle, table
 
 
@@ -67,7 +68,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Words of a text to shingle hashes; word hashes are cached."""
 
-    def __init__(self, width: int, cached: int = 300_000):
+    def __init__(self, width: int, cached: int = 150_000):
         self.width, self.cached, self.seen = width, cached, {}
 
     def words(self, text: str | None) -> np.ndarray:
@@ -154,17 +155,18 @@ def band_keys(registers: np.ndarray, bands: int) -> np.ndarray:
 def signatures(rows: DataFrame, p: Params) -> DataFrame:
     """(id, body) -> (id, words, chars, bands): digest of the words, length, band keys (none for no words)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         shingler = Shingler(p.words)
-        for b in batches:
-            digests, bands = [], []
-            for text in b["body"].tolist():
-                words = shingler.words(text)
-                digests.append(xxhash.xxh3_128_digest(words.tobytes()))
-                bands.append(band_keys(signature(*shingler.bag(words), p.bands * p.rows), p.bands) if len(words) else np.zeros(0, np.int64))
-            yield pd.DataFrame({"id": b["id"], "words": digests, "chars": b["body"].str.len(), "bands": bands})
+        for key, text in rows_of(batches):
+            words = shingler.words(text)
+            bands = band_keys(signature(*shingler.bag(words), p.bands * p.rows), p.bands).tolist() if len(words) else []
+            yield key, xxhash.xxh3_128_digest(words.tobytes()), len(text), bands
 
-    return rows.mapInPandas(run, "id long, words binary, chars long, bands array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
+        yield from batches_of(signed(batches), ["id", "words", "chars", "bands"], types, 3, most=2000)
+
+    return rows.mapInArrow(run, "id long, words binary, chars long, bands array<long>")
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -305,24 +307,24 @@ def _solve_small(rows: DataFrame, p: Params) -> DataFrame:
     """(block, id, body) of blocks that fit one task -> (id, root)."""
     dealt = rows.repartition("block").sortWithinPartitions("block", "id")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, block, ids, bags = Shingler(p.words), None, [], []
 
-        def flush() -> pd.DataFrame:
-            return pd.DataFrame({"id": ids, "root": [ids[k] for k in solve_block(bags, p.share)]})
-
-        for b in batches:
-            for key, i, text in zip(b["block"].tolist(), b["id"].tolist(), b["body"].tolist()):
-                if key != block:
-                    if ids:
-                        yield flush()
-                    block, ids, bags = key, [], []
-                ids.append(i)
-                bags.append(shingler.bag(shingler.words(text)))
+        def solved() -> pa.RecordBatch:
+            roots = [ids[k] for k in solve_block(bags, p.share)]
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(roots, pa.int64())], names=["id", "root"])
+
+        for key, i, text in rows_of(batches):
+            if key != block:
+                if ids:
+                    yield solved()
+                block, ids, bags = key, [], []
+            ids.append(i)
+            bags.append(shingler.bag(shingler.words(text)))
         if ids:
-            yield flush()
+            yield solved()
 
-    return dealt.mapInPandas(run, "id long, root long")
+    return dealt.mapInArrow(run, "id long, root long")
 
 
 def _few(todo: DataFrame, k: int) -> DataFrame:
@@ -342,26 +344,26 @@ def _compare(rows: DataFrame, lead: DataFrame, p: Params) -> DataFrame:
     dealt = members.unionByName(leaders).repartition("block", "part").sortWithinPartitions("block", "part", "what", "id")
     far = 2 * (1 - p.share[0] / p.share[1])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         shingler, key, names, bags, index = Shingler(p.words), None, [], [], None
-        for b in batches:
-            out = []
-            for block, part, what, i, text in b.itertuples(index=False, name=None):
-                if key != (block, part):
-                    key, names, bags, index = (block, part), [], [], None
-                bag = shingler.bag(shingler.words(text))
-                if what == 0:
-                    names.append(i)
-                    bags.append(bag)
-                    continue
-                index = index or Postings(bags)
-                inter, sizes = index.overlap(bag)
-                away = 1 - inter / np.maximum(1, sizes - inter)
-                out += [(i, names[k], float(away[k])) for k in np.flatnonzero(away <= far + 1e-9).tolist()]
-            if out:
-                yield pd.DataFrame(out, columns=["id", "lead", "d"])
-
-    return dealt.mapInPandas(run, "id long, lead long, d double")
+        for block, part, what, i, text in rows_of(batches):
+            if key != (block, part):
+                key, names, bags, index = (block, part), [], [], None
+            bag = shingler.bag(shingler.words(text))
+            if what == 0:
+                names.append(i)
+                bags.append(bag)
+                continue
+            index = index or Postings(bags)
+            inter, sizes = index.overlap(bag)
+            away = 1 - inter / np.maximum(1, sizes - inter)
+            for k in np.flatnonzero(away <= far + 1e-9).tolist():
+                yield i, names[k], float(away[k])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of(near(batches), ["id", "lead", "d"], [pa.int64(), pa.int64(), pa.float64()])
+
+    return dealt.mapInArrow(run, "id long, lead long, d double")
 
 
 def _leader_rounds(rows: DataFrame, p: Params) -> DataFrame:
@@ -412,7 +414,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     sigs = settle(signatures(rows, p), "near-sigs")
-    reps = sigs.groupBy("words").agg(F.min("id").alias("rep"))
+    # Written out, so that both sides of the joins below are dealt anew and a hot
+    # class can be split there.
+    reps = settle(sigs.groupBy("words").agg(F.min("id").alias("rep")), "near-reps")
     members = sigs.select("id", "words").join(reps, "words").select("id", "rep")
     firsts = sigs.join(reps, (sigs["words"] == reps["words"]) & (sigs["id"] == reps["rep"])).select("id", "chars", "bands")
 

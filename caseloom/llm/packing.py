@@ -22,17 +22,19 @@ from dataclasses import dataclass
 from itertools import chain, compress, repeat
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import kept_in_process
+from caseloom.llm.common import arrow_type, batches_of, kept_in_process, rows_of
 from caseloom.session import table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+#: Words in one generation of the encoder's cache: about 40 MB; fewer cost time.
+MAX_WORDS = 250_000
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,7 @@ class Encoder:
 
     _TAIL = b",.;:!?"
 
-    def __init__(self, path: str, max_words: int = 250_000):
+    def __init__(self, path: str, max_words: int = MAX_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -149,56 +151,41 @@ def _splits_at_space(path: str) -> bool:
     return steps == ["NFC", "Replace", "Lowercase"] and pre.get("behavior") == "Removed" and pre.get("invert") is True and r"[^\s\p{L}\p{N}]+" in pre.get("pattern", {}).get("Regex", "")
 
 
-def _encoded(batches: Iterator[pd.DataFrame], path: str, end_id: int) -> Iterator[tuple]:
-    """(id, ids) of (row_id, body) batches, a few megabytes at a time."""
-    encoder = kept_in_process(("word-encoder", path), lambda: Encoder(path))
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, max_words: int) -> Iterator[tuple]:
+    """(id, ids) of (row_id, body) rows, encoded a few megabytes at a time."""
+    encoder = kept_in_process(("word-encoder", path, max_words), lambda: Encoder(path, max_words))
     end = np.array([end_id], "<u4").tobytes()
-    for batch in batches:
-        keys, texts = batch["row_id"].tolist(), batch["body"].tolist()
-        for lo, hi in _spans(texts, 4 << 20):
-            for key, ids in zip(keys[lo:hi], encoder.encode(texts[lo:hi]), strict=True):
-                yield key, ids + end
+    keys, texts, held = [], [], 0
+
+    def encoded() -> Iterator[tuple]:
+        for key, ids in zip(keys, encoder.encode(texts), strict=True):
+            yield key, ids + end
+
+    for key, text in rows_of(batches):
+        keys.append(key)
+        texts.append(text)
+        held += len(text)
+        if held > 4 << 20:
+            yield from encoded()
+            keys, texts, held = [], [], 0
+    yield from encoded()
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
 
 
-def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = END_ID) -> DataFrame:
+def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = END_ID, max_words: int = MAX_WORDS) -> DataFrame:
     """(id, ids): a text's ids and ``end_id``, little-endian uint32 bytes. Null is empty."""
     path = path or public_tokenizers.path(TOKENIZER)
     rows = _texts(docs, id_col, text_col)
+    types = [arrow_type(rows, "row_id"), pa.binary()]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _frames(_encoded(batches, path, end_id), ["row_id", "ids"], 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of(_encoded(batches, path, end_id, max_words), ["row_id", "ids"], types, 1)
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"row_id {kind}, ids binary").withColumnRenamed("row_id", id_col)
-
-
-def _frames(rows: Iterable[tuple], columns: list[str], heavy: int) -> Iterator[pd.DataFrame]:
-    """Rows in frames of bounded bytes; ``heavy`` is the position of the bytes."""
-    out, size = [], 0
-    for row in rows:
-        out.append(row)
-        size += len(row[heavy])
-        if size > 4 << 20 or len(out) >= 5000:
-            yield pd.DataFrame(out, columns=columns)
-            out, size = [], 0
-    if out:
-        yield pd.DataFrame(out, columns=columns)
-
-
-def _spans(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``chars`` characters, so that a batch stays small."""
-    lo = held = 0
-    for hi, t in enumerate(texts):
-        held += len(t)
-        if held >= chars:
-            yield lo, hi + 1
-            lo, held = hi + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+    return rows.mapInArrow(run, f"row_id {kind}, ids binary").withColumnRenamed("row_id", id_col)
 
 
 class Packer:
@@ -278,6 +265,7 @@ class Packer:
 
 _PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 _COLUMNS = ["row_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def _pieces(examples: Iterable[tuple], limits: Limits, pool: int) -> Iterator[tuple]:
@@ -311,25 +299,27 @@ def pack(examples: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", loss
     """
     rows = examples.select(F.col(id_col).alias("row_id"), F.col(ids_col).alias("ids"), (F.coalesce(F.col(loss_col), F.lit(0)) if loss_col else F.lit(0)).cast("long").alias("loss_start"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        examples = (row for batch in batches for row in batch.itertuples(index=False, name=None))
-        yield from _frames(_pieces(examples, limits, pool), _COLUMNS, 3)
+    types = [arrow_type(rows, "row_id"), *_TYPES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of(_pieces(rows_of(batches), limits, pool), _COLUMNS, types, 3)
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"row_id {kind}, {_PIECES}").withColumnRenamed("row_id", id_col)
+    return rows.mapInArrow(run, f"row_id {kind}, {_PIECES}").withColumnRenamed("row_id", id_col)
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits(), path: str | None = None, end_id: int = END_ID, pool: int = 512) -> DataFrame:
+def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits(), path: str | None = None, end_id: int = END_ID, pool: int = 512, max_words: int = MAX_WORDS) -> DataFrame:
     """``tokenize`` and ``pack`` in one pass over the texts: all tokens bear loss."""
     path = path or public_tokenizers.path(TOKENIZER)
     rows = _texts(docs, id_col, text_col)
+    types = [arrow_type(rows, "row_id"), *_TYPES]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        examples = ((key, ids, 0) for key, ids in _encoded(batches, path, end_id))
-        yield from _frames(_pieces(examples, limits, pool), _COLUMNS, 3)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples = ((key, ids, 0) for key, ids in _encoded(batches, path, end_id, max_words))
+        yield from batches_of(_pieces(examples, limits, pool), _COLUMNS, types, 3)
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"row_id {kind}, {_PIECES}").withColumnRenamed("row_id", id_col)
+    return rows.mapInArrow(run, f"row_id {kind}, {_PIECES}").withColumnRenamed("row_id", id_col)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

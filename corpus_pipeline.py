@@ -29,7 +29,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens, with their token ids."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, max_words=60_000)  # executors still hold what earlier stages left
 
 
 STAGES = [("quality_rules", quality_rules), ("exact_copies", exact_copies), ("near_copies", near_copies), ("packing", packed)]
