@@ -16,13 +16,13 @@ from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import kept_in_process
+from caseloom.llm.common import arrow_type, batches_of, kept_in_process, rows_of
 from caseloom.session import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -150,34 +150,27 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _by_size(values: list, limit: int) -> Iterator[tuple[int, int]]:
-    lo = held = 0
-    for hi, v in enumerate(values):
-        held += len(v)
-        if held >= limit:
-            yield lo, hi + 1
-            lo, held = hi + 1, 0
-    if lo < len(values):
-        yield lo, len(values)
-
-
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """(id, ids) of every row; null text is empty and has no ids. Only the two columns are read."""
     path = path or public_tokenizers.path(RANKS)
     rows = docs.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    types = [arrow_type(rows, "row_id"), pa.binary()]
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         bpe = kept_in_process(("bpe", path, pattern), lambda: Bpe(path, pattern))
-        for batch in batches:
-            keys, texts = batch["row_id"], batch["body"].tolist()
-            for lo, hi in _by_size(texts, 4 << 20):
-                gc.disable()  # nothing here is cyclic; scanning the caches again and again is slow
-                ids = [bpe.encode(t) for t in texts[lo:hi]]
-                gc.enable()
-                yield pd.DataFrame({"row_id": keys.iloc[lo:hi].array, "ids": ids})
+        for key, text in rows_of(batches):
+            yield key, bpe.encode(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # nothing here is cyclic; scanning the caches again and again is slow
+        try:
+            yield from batches_of(encoded(batches), ["row_id", "ids"], types, 1)
+        finally:
+            gc.enable()
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"row_id {kind}, ids binary").withColumnRenamed("row_id", id_col)
+    return rows.mapInArrow(run, f"row_id {kind}, ids binary").withColumnRenamed("row_id", id_col)
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
@@ -185,15 +178,18 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", pat
     path = path or public_tokenizers.path(RANKS)
     rows = encoded.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    types = [arrow_type(rows, "row_id"), pa.binary(), pa.binary()]
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         bpe = kept_in_process(("bpe", path, public_tokenizers.PATTERN), lambda: Bpe(path))
-        for batch in batches:
-            keys, ids = batch["row_id"], batch["ids"].tolist()
-            for lo, hi in _by_size(ids, 8 << 20):
-                yield pd.DataFrame({"row_id": keys.iloc[lo:hi].array, "ids": ids[lo:hi], "decoded": [bpe.decode(x) for x in ids[lo:hi]]})
+        for key, ids in rows_of(batches):
+            yield key, ids, bpe.decode(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of(decoded(batches), ["row_id", "ids", "decoded"], types, 1)
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"row_id {kind}, ids binary, decoded binary").withColumnRenamed("row_id", id_col)
+    return rows.mapInArrow(run, f"row_id {kind}, ids binary, decoded binary").withColumnRenamed("row_id", id_col)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,10 +20,11 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.llm.common import arrow_type, batches_of, rows_of
 from caseloom.session import table
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -59,15 +60,6 @@ def turn_events(conversations: DataFrame, conv="conv_id", turn="turn", role="rol
     return conversations.select(F.col(conv).alias("conv_id"), F.col(turn).alias("message"), F.col(turn).alias("seq"), F.lit("message").alias("kind"), F.col(role).alias("role"), F.col(text).alias("text"))
 
 
-def _rows(batches: Iterable[pd.DataFrame]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from batch.itertuples(index=False, name=None)
-
-
-def _null(x):
-    return None if x is None or x != x else x
-
-
 def fold(events: Iterable[tuple]) -> Iterator[tuple]:
     """(conv, message, seq, kind, role, text) in order -> final (conv, message, seq, role, text).
 
@@ -94,18 +86,6 @@ def fold(events: Iterable[tuple]) -> Iterator[tuple]:
         yield (*key, seq, role, "".join(parts))
 
 
-def _batched(rows: Iterable[tuple], columns: list[str], size: int = 1000, chars: int = 1 << 22, heavy: int | None = None) -> Iterator[pd.DataFrame]:
-    out, held = [], 0
-    for row in rows:
-        out.append(row)
-        held += len(row[heavy]) if heavy is not None else 0
-        if len(out) >= size or held >= chars:
-            yield pd.DataFrame(out, columns=columns, dtype=object)
-            out, held = [], 0
-    if out:
-        yield pd.DataFrame(out, columns=columns, dtype=object)
-
-
 def final_messages(events: DataFrame) -> DataFrame:
     """Fold an event log (conv_id, message, seq, kind, role, text).
 
@@ -117,11 +97,12 @@ def final_messages(events: DataFrame) -> DataFrame:
     events = events.select("conv_id", F.col("message").cast("long"), F.col("seq").cast("long"), F.when(order > 0, kind).otherwise(F.raise_error(F.lit("unknown event kind"))).alias("kind"), "role", "text", order.alias("nth"))
     dealt = events.repartition("conv_id", "message").sortWithinPartitions("conv_id", "message", "seq", "nth", "role", "text").drop("nth")
 
+    types = [arrow_type(events, "conv_id"), pa.int64(), pa.int64(), pa.string(), pa.string()]
+
     def run(batches):
-        clean = ((_null(c), _null(m), _null(s), k, r, t) for c, m, s, k, r, t in _rows(batches))
-        yield from _batched(fold(clean), ["conv_id", "message", "seq", "role", "text"], heavy=4)
+        yield from batches_of(fold(rows_of(batches)), ["conv_id", "message", "seq", "role", "text"], types, 4)
 
-    return dealt.mapInPandas(run, f"conv_id {_kind(events)}, message long, seq long, role string, text string")
+    return dealt.mapInArrow(run, f"conv_id {_kind(events)}, message long, seq long, role string, text string")
 
 
 def _kind(df: DataFrame) -> str:
@@ -141,7 +122,6 @@ def render(messages: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES) -> Dat
     def segments(rows):
         first, conv, n, at = True, None, 0, 0
         for c, _, _, role, text in rows:
-            c = _null(c)
             if first or c != conv:
                 first, conv, n, at = False, c, 0, 0
             role, text = role or "", text or ""
@@ -151,10 +131,12 @@ def render(messages: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES) -> Dat
             yield c, n, role, segment, lo, lo + (len(body) if role in loss_roles else 0)
             n, at = n + 1, at + len(segment)
 
+    types = [arrow_type(messages, "conv_id"), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+
     def run(batches):
-        yield from _batched(segments(_rows(batches)), ["conv_id", "turn_no", "role", "segment", "loss_start", "loss_end"], heavy=3)
+        yield from batches_of(segments(rows_of(batches)), ["conv_id", "turn_no", "role", "segment", "loss_start", "loss_end"], types, 3)
 
-    return dealt.mapInPandas(run, SEGMENTS.format(kind=_kind(messages)))
+    return dealt.mapInArrow(run, SEGMENTS.format(kind=_kind(messages)))
 
 
 def format_conversations(events: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES) -> DataFrame:
@@ -172,7 +154,6 @@ def read_back(segments: DataFrame) -> DataFrame:
     def digests(rows):
         first, conv, turns, loss, n, chars, total = True, None, None, None, 0, 0, 0
         for c, _, _, segment, lo, hi in rows:
-            c = _null(c)
             if first or c != conv:
                 if not first:
                     yield conv, n, turns.hexdigest(), chars, loss.hexdigest(), total
@@ -182,16 +163,18 @@ def read_back(segments: DataFrame) -> DataFrame:
             if not m:
                 raise ValueError("a segment does not parse")
             turns.update(f"{unescape_role(m[1])}\n{unescape(m[2])}\n".encode("utf-8", "surrogatepass"))
-            masked = unescape(segment[int(lo) - total : int(hi) - total])
+            masked = unescape(segment[lo - total : hi - total])
             loss.update(masked.encode("utf-8", "surrogatepass"))
             n, chars, total = n + 1, chars + len(masked), total + len(segment)
         if not first:
             yield conv, n, turns.hexdigest(), chars, loss.hexdigest(), total
 
+    types = [arrow_type(segments, "conv_id"), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
     def run(batches):
-        yield from _batched(digests(_rows(batches)), ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+        yield from batches_of(digests(rows_of(batches)), ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"], types, 2)
 
-    return segments.mapInPandas(run, DIGESTS.format(kind=_kind(segments)))
+    return segments.mapInArrow(run, DIGESTS.format(kind=_kind(segments)))
 
 
 PROBE = "</s>[INST] ok [/INST]"

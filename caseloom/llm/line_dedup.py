@@ -19,13 +19,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from caseloom.llm.exact_dedup import fold_ascii
+from caseloom.llm.common import arrow_type, batches_of, rows_of
 from caseloom.session import settle, table
 
 MIN_CHARS = 20
@@ -95,21 +94,10 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = f"what int, h1 long, h2 long, doc {kind}, tag long, pos int, n_docs long"
     columns = ["what", "h1", "h2", "doc", "tag", "pos", "n_docs"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        out = []
-        for row in scan_runs(rows, min_docs):
-            out.append(row)
-            if len(out) >= 20_000:
-                yield _arrow(out)
-                out = []
-        if out:
-            yield _arrow(out)
-
-    types = [pa.int32(), pa.int64(), pa.int64(), to_arrow_type(lines.schema["doc"].dataType), pa.int64(), pa.int32(), pa.int64()]
+    types = [pa.int32(), pa.int64(), pa.int64(), arrow_type(lines, "doc"), pa.int64(), pa.int32(), pa.int64()]
 
-    def _arrow(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=columns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of(scan_runs(rows_of(batches, 4096), min_docs), columns, types, most=20_000)
 
     found = settle(dealt.mapInArrow(run, schema), "line-runs")
     # At most two summaries a partition, so this side is bounded by their number.
@@ -117,12 +105,14 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pending = found.filter(F.col("what") == _PENDING).select("h1", "h2", "doc", "tag", "pos").join(F.broadcast(edges), ["h1", "h2"]).filter(~F.col("doc").eqNullSafe(F.col("top")))
     drops = found.filter(F.col("what") == _DROP).select("doc", "tag", "pos").unionByName(pending.select("doc", "tag", "pos"))
 
-    def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"doc": b["doc"], "tag": b["tag"], "n_dropped": [len(set(p)) for p in b["lost"]], "bitmap": [pack_keep(p) for p in b["lost"]]})
+    kept_types = [arrow_type(lines, "doc"), pa.int64(), pa.int64(), pa.binary()]
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = ((doc, tag, len(set(lost)), pack_keep(lost)) for doc, tag, lost in rows_of(batches))
+        yield from batches_of(packed, ["doc", "tag", "n_dropped", "bitmap"], kept_types, 3)
 
     lost = drops.groupBy("doc", "tag").agg(F.collect_list("pos").alias("lost"))  # bounded by one document's lines
-    return lost.mapInPandas(bits, f"doc {kind}, tag long, n_dropped long, bitmap binary")
+    return lost.mapInArrow(bits, f"doc {kind}, tag long, n_dropped long, bitmap binary")
 
 
 def pack_keep(lost) -> bytes:
@@ -148,13 +138,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     maps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs).withColumnRenamed("doc", "m_doc").withColumnRenamed("tag", "m_tag").hint("shuffle_hash")
     joined = rows.join(maps, F.col("doc").eqNullSafe(F.col("m_doc")) & (F.xxhash64("body") == F.col("m_tag")), "left").select("doc", "body", "bitmap")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            got = [apply_keep(t, m) for t, m in zip(b["body"], b["bitmap"], strict=True)]
-            yield pd.DataFrame({"doc": b["doc"], "kept_text": [g[0] for g in got], "n_lines": [g[1] for g in got], "n_dropped": [g[2] for g in got]})
+    types = [arrow_type(rows, "doc"), pa.string(), pa.int64(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = ((doc, *apply_keep(text, bitmap)) for doc, text, bitmap in rows_of(batches))
+        yield from batches_of(kept, ["doc", "kept_text", "n_lines", "n_dropped"], types, 1)
 
     kind = rows.schema["doc"].dataType.simpleString()
-    return joined.mapInPandas(run, f"doc {kind}, kept_text string, n_lines long, n_dropped long").withColumnRenamed("doc", id_col)
+    return joined.mapInArrow(run, f"doc {kind}, kept_text string, n_lines long, n_dropped long").withColumnRenamed("doc", id_col)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,12 +20,13 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.llm.common import arrow_type
 from caseloom.session import shared_dir, table
 
 _FOLD = {ord("A") + i: ord("a") + i for i in range(26)}
@@ -152,22 +153,20 @@ def judge_urls(pages: DataFrame, rules=RULES, listed=LISTED, id_col: str = "page
         return _judge_by_join(rows, rules, listed, default).withColumnRenamed("row_id", id_col)
     names = [publish(spark, data) for data in files]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["row_id", "host", "path", "rule", "verdict", "listed"]
+    types = [arrow_type(rows, "row_id"), *[pa.string()] * 5]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = (DigestIndex(SparkFiles.get(n)) for n in names)
         for batch in batches:
-            parts = [split_url(u) for u in batch["url"].tolist()]
+            parts = [split_url(u) for u in batch.column(1).to_pylist()]
             ruled, found = first.judge(parts), second.judge(parts)
-            yield pd.DataFrame({
-                "row_id": batch["row_id"],
-                "host": [h for h, _ in parts],
-                "path": [p for _, p in parts],
-                "rule": [r and r[0] for r in ruled],
-                "verdict": [(r or s or ("", default))[1] for r, s in zip(ruled, found, strict=True)],
-                "listed": [s and s[0] for s in found],
-            })
+            verdicts = [(r or s or ("", default))[1] for r, s in zip(ruled, found, strict=True)]
+            values = [[h for h, _ in parts], [p for _, p in parts], [r and r[0] for r in ruled], verdicts, [s and s[0] for s in found]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, t) for v, t in zip(values, types[1:], strict=True))], names=columns)
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    out = rows.mapInPandas(run, f"row_id {kind}, host string, path string, rule string, verdict string, listed string")
+    out = rows.mapInArrow(run, f"row_id {kind}, host string, path string, rule string, verdict string, listed string")
     return out.withColumnRenamed("row_id", id_col)
 
 

@@ -29,7 +29,7 @@ def prose(rng, n):
     return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(n))
 
 
-ODD = [(1, None), (2, ""), (3, "x"), (None, "x"), (4, "Same Text"), (5, "same text"), (5, "same text"), (6, "SAME TEXT"), (7, "É"), (8, "é"), (9, "a\n\nb\n"), (10, "word " * 5000)]
+ODD = [(1, None), (2, ""), (3, "x"), (None, "x"), (4, "Same Text"), (5, "same text"), (5, "same text"), (6, "SAME TEXT"), (7, "É"), (2**60 + 1, "é"), (9, "a\n\nb\n"), (10, "word " * 5000)]
 
 
 @pytest.fixture(scope="module")
