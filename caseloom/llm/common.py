@@ -6,7 +6,7 @@ import sys
 from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_type
 
 
@@ -22,6 +22,13 @@ def kept_in_process(key: Hashable, make: Callable[[], object]):
     return store[key]
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lower the session's rows in an Arrow batch, unless it is lower: texts can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples; only ``step`` rows are Python objects at a time."""
     for batch in batches:

@@ -17,8 +17,8 @@ registers form buckets; each member is linked to its bucket's smallest id (a
 star, so links are linear in members however large a bucket is) and connected
 components of these links are candidate blocks. Within a block the exact
 counts decide (``solve_block``), in one task, and nothing but the resulting
-classes leaves it. Components beyond ``Params.block_rows`` or ``block_chars``
-are taken apart again: their buckets become the blocks, which still hold each
+classes leaves it. Components beyond ``Params.component_rows`` or
+``component_chars`` are taken apart again: their buckets become the blocks, which still hold each
 candidate pair together at least once. A bucket that is too large itself is
 settled exactly by leader rounds over the whole cluster (``_leader_rounds``).
 """
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import batches_of, rows_of
+from caseloom.llm.common import batches_of, rows_of, small_batches
 from caseloom.session import settle, table
 
 
@@ -47,6 +47,10 @@ class Params:
     rows: int = 7
     #: Similarity as a fraction, so that it is tested in whole numbers.
     share: tuple[int, int] = (8, 10)
+    #: A component up to this size is solved whole; larger ones by bucket.
+    component_rows: int = 500
+    component_chars: int = 4_000_000
+    #: A bucket up to this size is solved in one task; larger ones by leader rounds.
     block_rows: int = 20_000
     block_chars: int = 16_000_000
     #: Leaders of one block compared in one round.
@@ -154,6 +158,7 @@ def band_keys(registers: np.ndarray, bands: int) -> np.ndarray:
 
 def signatures(rows: DataFrame, p: Params) -> DataFrame:
     """(id, body) -> (id, words, chars, bands): digest of the words, length, band keys (none for no words)."""
+    small_batches(rows.sparkSession)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         shingler = Shingler(p.words)
@@ -393,10 +398,10 @@ def _leader_rounds(rows: DataFrame, p: Params) -> DataFrame:
     return links.filter(F.col("d") <= far).filter("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v"))
 
 
-def _too_large(blocks: DataFrame, firsts: DataFrame, p: Params) -> tuple[DataFrame, bool]:
+def _too_large(blocks: DataFrame, firsts: DataFrame, rows: int, chars: int) -> tuple[DataFrame, bool]:
     """The blocks that one task should not hold, and whether there are any."""
     sizes = blocks.join(firsts.select("id", "chars"), "id").groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
-    large = settle(sizes.filter((F.col("n") > p.block_rows) | (F.col("chars") > p.block_chars)).select("block"), "near-too-large")
+    large = settle(sizes.filter((F.col("n") > rows) | (F.col("chars") > chars)).select("block"), "near-too-large")
     return large, not large.isEmpty()
 
 
@@ -429,7 +434,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     send = lambda small: F.broadcast(small) if n_blocked <= p.broadcast_rows else small
     texts = lambda chosen: rows.join(send(chosen), "id").select("block", "id", "body")
 
-    large, any_large = _too_large(blocks, firsts, p)
+    large, any_large = _too_large(blocks, firsts, p.component_rows, p.component_chars)
     solved = _solve_small(texts(blocks.join(large, "block", "left_anti") if any_large else blocks), p)
     if any_large:
         ids = blocks.join(large, "block", "left_semi").select("id")
@@ -439,7 +444,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         parts = settle(inner.join(once, "key", "left_semi").select("id", F.col("key").alias("block")), "near-parts")
         n_parts = parts.count()
         texts_of = lambda chosen: rows.join(F.broadcast(chosen) if n_parts <= p.broadcast_rows else chosen, "id").select("block", "id", "body")
-        huge, any_huge = _too_large(parts, firsts, p)
+        huge, any_huge = _too_large(parts, firsts, p.block_rows, p.block_chars)
         links = _solve_small(texts_of(parts.join(huge, "block", "left_anti") if any_huge else parts), p).select(F.col("id").alias("u"), F.col("root").alias("v"))
         if any_huge:
             links = links.unionByName(_leader_rounds(texts_of(parts.join(huge, "block", "left_semi")), p))

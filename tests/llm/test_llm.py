@@ -307,7 +307,7 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"block_rows": 6, "leaders": 2}])
+@pytest.mark.parametrize("limits", [{}, {"component_rows": 6}, {"component_rows": 6, "block_rows": 6, "leaders": 2}])
 def test_near_classes(spark, limits):
     rows = near_rows()
     got = {r.doc_id: r for r in minhash.near_classes(docs_of(spark, rows), p=minhash.Params(**limits)).collect()}
