@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import arrow_type, batches_of, kept_in_process, rows_of
+from caseloom.llm.common import arrow_type, batches_of, kept_in_process, rows_of, small_batches
 from caseloom.session import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -153,6 +153,7 @@ class Bpe:
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """(id, ids) of every row; null text is empty and has no ids. Only the two columns are read."""
     path = path or public_tokenizers.path(RANKS)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
 
     types = [arrow_type(rows, "row_id"), pa.binary()]
