@@ -28,13 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import arrow_type, batches_of, kept_in_process, rows_of
+from caseloom.llm.common import arrow_type, batches_of, kept_in_process, rows_of, small_batches
 from caseloom.session import table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-#: Words in one generation of the encoder's cache: about 40 MB; fewer cost time.
-MAX_WORDS = 250_000
+#: Words in one generation of the encoder's cache: about 80 MB; fewer cost time.
+MAX_WORDS = 500_000
 
 
 @dataclass(frozen=True)
@@ -165,13 +165,14 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, max_word
         keys.append(key)
         texts.append(text)
         held += len(text)
-        if held > 4 << 20:
+        if held > 16 * max_words:  # a batch of text in proportion to the cache
             yield from encoded()
             keys, texts, held = [], [], 0
     yield from encoded()
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
 
 
