@@ -335,23 +335,23 @@ def _solve_small(rows: DataFrame, p: Params) -> DataFrame:
 def _few(todo: DataFrame, k: int) -> DataFrame:
     """k members of each block, ranked in spread parts first, so no block meets in one task."""
     part = F.pmod(F.xxhash64("id"), F.lit(64))
-    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("id", F.lit(3)), "id"))
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("id", F.lit(3)), "id", "text"))
     some = todo.withColumn("part", part).withColumn("nth", rank("block", "part")).filter(F.col("nth") <= k)
-    return some.withColumn("nth", rank("block")).filter(F.col("nth") <= k).select("block", "id")
+    return some.withColumn("nth", rank("block")).filter(F.col("nth") <= k).select("block", "id", "text")
 
 
 def _compare(rows: DataFrame, lead: DataFrame, p: Params) -> DataFrame:
-    """(id, lead, d) of members within twice the distance limit of their block's leaders."""
+    """(block, id, text, lead, d) of members within twice the distance limit of their block's leaders."""
     led = rows.join(lead.select("block").distinct(), "block", "left_semi")
     parts = led.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / p.block_rows).alias("parts"))
-    members = rows.join(parts, "block").select("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).alias("part"), F.lit(1).alias("what"), "id", "body")
-    leaders = lead.join(parts, "block").select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("what"), "id", "body")
+    members = rows.join(parts, "block").select("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).alias("part"), F.lit(1).alias("what"), "id", "text", "body")
+    leaders = lead.join(parts, "block").select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("what"), "id", "text", "body")
     dealt = members.unionByName(leaders).repartition("block", "part").sortWithinPartitions("block", "part", "what", "id")
     far = 2 * (1 - p.share[0] / p.share[1])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         shingler, key, names, bags, index = Shingler(p.words), None, [], [], None
-        for block, part, what, i, text in rows_of(batches):
+        for block, part, what, i, digest, text in rows_of(batches):
             if key != (block, part):
                 key, names, bags, index = (block, part), [], [], None
             bag = shingler.bag(shingler.words(text))
@@ -363,38 +363,43 @@ def _compare(rows: DataFrame, lead: DataFrame, p: Params) -> DataFrame:
             inter, sizes = index.overlap(bag)
             away = 1 - inter / np.maximum(1, sizes - inter)
             for k in np.flatnonzero(away <= far + 1e-9).tolist():
-                yield i, names[k], float(away[k])
+                yield block, i, digest, names[k], float(away[k])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches_of(near(batches), ["id", "lead", "d"], [pa.int64(), pa.int64(), pa.float64()])
+        yield from batches_of(near(batches), ["block", "id", "text", "lead", "d"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()])
 
-    return dealt.mapInArrow(run, "id long, lead long, d double")
+    return dealt.mapInArrow(run, "block long, id long, text long, lead long, d double")
 
 
 def _leader_rounds(rows: DataFrame, p: Params) -> DataFrame:
     """(block, id, body) of blocks too large for one task -> links (u, v).
 
     In a round up to ``leaders`` members of each block are compared exactly
-    with all members, which lie spread over the cluster. A leader is done
-    then: all its links are known. 1 - similarity is a metric, so a link
-    between x and y needs d(x, l) <= d(y, l) + (1 - share) for each leader l.
-    A member must lead later only if it is linked to no leader, or if it is
-    within 2 (1 - share) of a leader of another class, where a link across
-    could hide. When nobody must, no link that joins classes is missing.
+    with all members of that block, which lie spread over the cluster. A
+    leader is done in this block then, not in others: all its links here are
+    known. 1 - similarity is a metric, so a link between x and y needs
+    d(x, l) <= d(y, l) + (1 - share) for each leader l. A member must lead
+    later in a block only if it is linked to no leader of the block, or if it
+    is within 2 (1 - share) of one of another class, where a link across could
+    hide; in a block of one class nobody must. When nobody must in any block,
+    no link that joins classes is missing. A member is one text, of which an
+    id may have several; classes are those of ids over all blocks.
     """
     far = 1 - p.share[0] / p.share[1] + 1e-9
-    rows = settle(rows, "near-large")
-    links, done, todo = None, None, rows.select("block", "id").distinct()
-    while not (lead := settle(_few(todo, p.leaders).join(rows, ["block", "id"]), "near-lead")).isEmpty():
+    rows = settle(rows.withColumn("text", F.xxhash64("body")), "near-large")
+    here = ["block", "id", "text"]
+    links, done, todo = None, None, rows.select(here).distinct()
+    while not (lead := settle(_few(todo, p.leaders).join(rows, here), "near-lead")).isEmpty():
         found = settle(_compare(rows, lead, p), "near-links")
         links = found if links is None else links.unionByName(found)
-        done = lead.select("id") if done is None else done.unionByName(lead.select("id"))
+        done = lead.select(here) if done is None else done.unionByName(lead.select(here))
         close = links.filter(F.col("d") <= far).filter("id <> lead")
         roots = components(close.select(F.col("id").alias("u"), F.col("lead").alias("v")), "near-roots")
         named = rows.select("id").distinct().join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("class"))
-        across = links.join(named, "id").join(named.select(F.col("id").alias("lead"), F.col("class").alias("other")), "lead").filter("class <> other").select("id").distinct()
-        rest = rows.select("block", "id").distinct().join(done, "id", "left_anti")
-        todo = rest.join(close.select("id"), "id", "left_anti").unionByName(rest.join(across, "id", "left_semi")).distinct()
+        mixed = rows.select("block", "id").join(named, "id").groupBy("block").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("block")
+        across = links.join(named, "id").join(named.select(F.col("id").alias("lead"), F.col("class").alias("other")), "lead").filter("class <> other").select(here).distinct()
+        rest = rows.select(here).distinct().join(mixed, "block", "left_semi").join(done, here, "left_anti")
+        todo = rest.join(close.select(here), here, "left_anti").unionByName(rest.join(across, here, "left_semi")).distinct()
     return links.filter(F.col("d") <= far).filter("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v"))
 
 

@@ -315,6 +315,18 @@ def test_near_classes(spark, limits):
     assert all(r.kept == (i == r.class_id) for i, r in got.items())
 
 
+def test_leader_rounds_with_overlapping_blocks(spark):
+    """x leads in one block and y in another; only a third, which strangers may lead first, holds both."""
+    rng = random.Random(13)
+    rows, want = [], set()
+    for k in range(0, 80, 10):
+        words = prose(rng, 60)
+        rows += [(k, k, words), (k + 1, k, words), (k + 1, k + 1, words + " tail"), (k + 2, k + 1, words + " tail"), (k + 1, rng.randrange(10**6, 10**9), prose(rng, 60))]
+        want.add((k, k + 1))
+    links = minhash._leader_rounds(spark.createDataFrame(rows, "block long, id long, body string"), minhash.Params(leaders=1)).collect()
+    assert {(min(r), max(r)) for r in links} == want
+
+
 def test_near_edge_cases(spark, odd, empty):
     assert minhash.near_classes(odd).count() == len(ODD)
     assert minhash.near_classes(empty).count() == 0
