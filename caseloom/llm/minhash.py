@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import batches_of, rows_of, small_batches
+from caseloom.llm.common import batches_of, join_hot, rows_of, small_batches, with_long_ids
 from caseloom.session import settle, table
 
 
@@ -180,26 +180,31 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     Every link is between two different ids. The root is a component's
     smallest id; roots have no row. Each round is written to the shared
     folder, and a few rounds (about the logarithm of the size) are needed.
+    The links of a hub are not dealt by it (``join_hot``), so they meet in no
+    one task.
     """
 
     def down(e: DataFrame) -> DataFrame:
         return e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
 
-    def large(e: DataFrame) -> DataFrame:
+    def lowest(e: DataFrame) -> DataFrame:
+        return e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+
+    def large(e: DataFrame, n: int) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = lowest(both).select("u", F.least("u", "m").alias("m"), "n")
+        return join_hot(both, low, "u", 2 * n, f"{label}-low").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
-    def small(e: DataFrame) -> DataFrame:
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        near = e.join(low, "u")
+    def small(e: DataFrame, n: int) -> DataFrame:
+        near = join_hot(e, lowest(e), "u", n, f"{label}-low")
         return near.select("u", F.col("m").alias("v")).unionByName(near.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
 
     state = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first())
     e = settle(down(edges), label)
     old = state(e)
     while old[0]:
-        e = settle(down(small(down(large(e)))), label)
+        wide = settle(down(large(e, old[0])), label)
+        e = settle(down(small(wide, wide.count())), label)
         now = state(e)
         if now == old:
             break
@@ -341,16 +346,21 @@ def _few(todo: DataFrame, k: int) -> DataFrame:
 
 
 def _compare(rows: DataFrame, lead: DataFrame, p: Params) -> DataFrame:
-    """(block, id, text, lead, d) of members within twice the distance limit of their block's leaders."""
+    """(block, id, text, lead, d) of members within twice the distance limit of their block's leaders.
+
+    Leaders that are similar (closed transitively) stand as one: a member has
+    one row for each such group near it, with the group's first leader and the
+    distance to the nearest.
+    """
     led = rows.join(lead.select("block").distinct(), "block", "left_semi")
     parts = led.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / p.block_rows).alias("parts"))
     members = rows.join(parts, "block").select("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).alias("part"), F.lit(1).alias("what"), "id", "text", "body")
     leaders = lead.join(parts, "block").select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("what"), "id", "text", "body")
-    dealt = members.unionByName(leaders).repartition("block", "part").sortWithinPartitions("block", "part", "what", "id")
+    dealt = members.unionByName(leaders).repartition("block", "part").sortWithinPartitions("block", "part", "what", "id", "text")
     far = 2 * (1 - p.share[0] / p.share[1])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        shingler, key, names, bags, index = Shingler(p.words), None, [], [], None
+        shingler, key, names, bags, index, group = Shingler(p.words), None, [], [], None, []
         for block, part, what, i, digest, text in rows_of(batches):
             if key != (block, part):
                 key, names, bags, index = (block, part), [], [], None
@@ -359,11 +369,15 @@ def _compare(rows: DataFrame, lead: DataFrame, p: Params) -> DataFrame:
                 names.append(i)
                 bags.append(bag)
                 continue
-            index = index or Postings(bags)
+            if index is None:
+                index, group = Postings(bags), solve_block(bags, p.share)
             inter, sizes = index.overlap(bag)
             away = 1 - inter / np.maximum(1, sizes - inter)
+            nearest: dict[int, float] = {}
             for k in np.flatnonzero(away <= far + 1e-9).tolist():
-                yield block, i, digest, names[k], float(away[k])
+                nearest[group[k]] = min(float(away[k]), nearest.get(group[k], np.inf))
+            for g, d in nearest.items():
+                yield block, i, digest, names[g], d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches_of(near(batches), ["block", "id", "text", "lead", "d"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()])
@@ -384,23 +398,30 @@ def _leader_rounds(rows: DataFrame, p: Params) -> DataFrame:
     hide; in a block of one class nobody must. When nobody must in any block,
     no link that joins classes is missing. A member is one text, of which an
     id may have several; classes are those of ids over all blocks.
+
+    What is kept from round to round: one (id, root) row for an id with
+    links, one mark for a member that led or is linked, and the distances
+    that still lie between two classes; those within a class are dropped.
     """
     far = 1 - p.share[0] / p.share[1] + 1e-9
     rows = settle(rows.withColumn("text", F.xxhash64("body")), "near-large")
     here = ["block", "id", "text"]
-    links, done, todo = None, None, rows.select(here).distinct()
+    roots, led, linked, apart, todo = None, None, None, None, rows.select(here).distinct()
+    more = lambda old, new: new if old is None else old.unionByName(new)
     while not (lead := settle(_few(todo, p.leaders).join(rows, here), "near-lead")).isEmpty():
         found = settle(_compare(rows, lead, p), "near-links")
-        links = found if links is None else links.unionByName(found)
-        done = lead.select(here) if done is None else done.unionByName(lead.select(here))
-        close = links.filter(F.col("d") <= far).filter("id <> lead")
-        roots = components(close.select(F.col("id").alias("u"), F.col("lead").alias("v")), "near-roots")
+        led = more(led, lead.select(here))
+        close = found.filter(F.col("d") <= far).filter("id <> lead")
+        linked = settle(more(linked, close.select(here)).distinct(), "near-linked")
+        edges = close.select(F.col("id").alias("u"), F.col("lead").alias("v"))
+        roots = components(more(None if roots is None else roots.select(F.col("id").alias("u"), F.col("root").alias("v")), edges), "near-roots")
         named = rows.select("id").distinct().join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("class"))
         mixed = rows.select("block", "id").join(named, "id").groupBy("block").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("block")
-        across = links.join(named, "id").join(named.select(F.col("id").alias("lead"), F.col("class").alias("other")), "lead").filter("class <> other").select(here).distinct()
-        rest = rows.select(here).distinct().join(mixed, "block", "left_semi").join(done, here, "left_anti")
-        todo = rest.join(close.select(here), here, "left_anti").unionByName(rest.join(across, here, "left_semi")).distinct()
-    return links.filter(F.col("d") <= far).filter("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v"))
+        far_apart = more(apart, found.select(*here, "lead")).distinct()
+        apart = settle(far_apart.join(named, "id").join(named.select(F.col("id").alias("lead"), F.col("class").alias("other")), "lead").filter("class <> other").select(*here, "lead"), "near-apart")
+        rest = rows.select(here).distinct().join(mixed, "block", "left_semi").join(led, here, "left_anti")
+        todo = rest.join(linked, here, "left_anti").unionByName(rest.join(apart.select(here).distinct(), here, "left_semi")).distinct()
+    return roots.select(F.col("id").alias("u"), F.col("root").alias("v"))
 
 
 def _too_large(blocks: DataFrame, firsts: DataFrame, rows: int, chars: int) -> tuple[DataFrame, bool]:
@@ -410,29 +431,28 @@ def _too_large(blocks: DataFrame, firsts: DataFrame, rows: int, chars: int) -> t
     return large, not large.isEmpty()
 
 
-_NULL_ID = -(1 << 63)
-
-
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: Params = Params()) -> DataFrame:
     """Class of every row: (id, class_id, kept); the class id is its smallest document id.
 
     Texts with equal words (lower-cased, split at white space) are alike; so
     are all texts without words, null ones included. Texts of fewer words than
-    a shingle are one shingle. A null id is the smallest. Rows that repeat an
-    id are one document: each gets a row, all its texts' links count. Only
-    the two columns are read; empty tables give no rows.
+    a shingle are one shingle. Ids may be of any type that has an order; a
+    null id is the smallest. Rows that repeat an id are one document: each
+    gets a row, all its texts' links count, and all or none are kept. Very
+    long texts are read whole, one at a time. Only the two columns are read,
+    so extra columns cannot clash; empty tables give no rows.
     """
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    rows, names = with_long_ids(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body")), "near-ids")
     sigs = settle(signatures(rows, p), "near-sigs")
-    # Written out, so that both sides of the joins below are dealt anew and a hot
-    # class can be split there.
-    reps = settle(sigs.groupBy("words").agg(F.min("id").alias("rep")), "near-reps")
-    members = sigs.select("id", "words").join(reps, "words").select("id", "rep")
-    firsts = sigs.join(reps, (sigs["words"] == reps["words"]) & (sigs["id"] == reps["rep"])).select("id", "chars", "bands")
-
-    buckets = firsts.select("id", F.explode("bands").alias("key"))
-    low = buckets.groupBy("key").agg(F.min("id").alias("v"), F.max("id").alias("last")).filter("v < last").select("key", "v")
-    edges = buckets.join(low, "key").filter("id <> v").select(F.col("id").alias("u"), "v").distinct()
+    # Written out, so that both sides of the joins below are dealt anew.
+    reps = settle(sigs.groupBy("words").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")), "near-reps")
+    n_rows = sigs.count()
+    members = join_hot(sigs.select("id", "words"), reps, "words", n_rows).select("id", "rep")
+    firsts = join_hot(sigs, reps, "words", n_rows).filter("id = rep").select("id", "chars", "bands")
+
+    buckets = settle(firsts.select("id", F.explode("bands").alias("key")), "near-buckets")
+    low = settle(buckets.groupBy("key").agg(F.min("id").alias("v"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).filter("v < last").select("key", "v", "n"), "near-low")
+    edges = join_hot(buckets, low, "key", buckets.count()).filter("id <> v").select(F.col("id").alias("u"), "v").distinct()
     stars = components(edges, "near-stars")
     blocks = settle(stars.select("id", F.col("root").alias("block")).unionByName(stars.select(F.col("root").alias("id"), F.col("root").alias("block")).distinct()), "near-blocks")
     n_blocked = blocks.count()
@@ -443,7 +463,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     solved = _solve_small(texts(blocks.join(large, "block", "left_anti") if any_large else blocks), p)
     if any_large:
         ids = blocks.join(large, "block", "left_semi").select("id")
-        inner = buckets.join(low.select("key"), "key").join(ids, "id", "left_semi")
+        inner = join_hot(buckets, low.select("key", "n"), "key", buckets.count()).join(ids, "id", "left_semi")
         mark = inner.groupBy("key").agg(F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("x"), F.sum(F.xxhash64("id", F.lit(1)).cast("decimal(20,0)")).alias("y"), F.count(F.lit(1)).alias("n"))
         once = mark.groupBy("x", "y", "n").agg(F.min("key").alias("key")).select("key")  # buckets with the same members
         parts = settle(inner.join(once, "key", "left_semi").select("id", F.col("key").alias("block")), "near-parts")
@@ -454,17 +474,30 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if any_huge:
             links = links.unionByName(_leader_rounds(texts_of(parts.join(huge, "block", "left_semi")), p))
         solved = solved.unionByName(components(links, "near-roots"))
-    solved = settle(solved.filter("id <> root").groupBy("id").agg(F.min("root").alias("root")), "near-classes")
+    pairs = solved.filter("id <> root").select(F.col("id").alias("u"), F.col("root").alias("v"))
+    several = members.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("id")
+    pairs = pairs.unionByName(members.join(several, "id").filter("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v")))
+    solved = components(pairs, "near-classes")
     out = members.join(solved.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("root", "rep").alias("class_id"))
-    real = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
-    return out.select(real("id").alias(id_col), real("class_id").alias("class_id"), (F.col("id") == F.col("class_id")).alias("kept"))
+    if names is None:
+        kind = docs.schema[id_col].dataType
+        return out.select(F.col("id").cast(kind).alias(id_col), F.col("class_id").cast(kind).alias("class_id"), (F.col("id") == F.col("class_id")).alias("kept"))
+    value = lambda number, name: names.select(F.col("number").alias(number), F.col("value").alias(name))
+    out = out.withColumn("kept", F.col("id") == F.col("class_id")).withColumnRenamed("class_id", "class")
+    return out.join(value("id", "own"), "id").join(value("class", "class_id"), "class").select(F.col("own").alias(id_col), "class_id", "kept")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: Params = Params()) -> DataFrame:
-    """``docs`` with one document of each class (the smallest id), columns as they were."""
+    """``docs`` with one document of each class (the smallest id), columns as they were.
+
+    Texts, ids and odd rows count as in ``near_classes``: of all texts without
+    words (null ones included) one document stays, rows that repeat a kept id
+    all stay, a null id is the smallest, extra columns pass through, and an
+    empty table stays empty.
+    """
     lost = settle(near_classes(docs, id_col, text_col, p).filter(~F.col("kept")).select(F.col(id_col).alias("__lost_id")).distinct(), "near-lost")
     n = lost.count()
-    return docs.join(F.broadcast(lost) if n <= p.broadcast_rows else lost, docs[id_col] == F.col("__lost_id"), "left_anti") if n else docs
+    return docs.join(F.broadcast(lost) if n <= p.broadcast_rows else lost, docs[id_col].eqNullSafe(F.col("__lost_id")), "left_anti") if n else docs
 
 
 def op2_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
