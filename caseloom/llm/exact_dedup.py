@@ -3,9 +3,10 @@
 Copies are combined three times, each time comparing whole texts, because the
 text itself is part of every grouping key:
 
-1. locally, by the map-side half of the first aggregate: a task sends one row
-   for each text it holds, however many copies it read;
-2. by (digest, salt, text): the copies of a hot text that many tasks hold are
+1. locally, by the map-side half of the first aggregate: the salt is fixed for
+   a task, so a task sends one row for each text it holds, however many copies
+   it read;
+2. by (digest, salt, text): the rows of a hot text that many tasks hold are
    spread over ``salts`` reducers;
 3. by (digest, text): at most ``salts`` rows of a text meet, and the largest
    id wins globally.
@@ -47,7 +48,8 @@ def winners(rows: DataFrame, salts: int = SALTS) -> DataFrame:
     ``rows`` has row_id, digest and body. Null ids lose to any other; a group
     of null ids only has a null keep_id.
     """
-    salted = rows.groupBy("digest", F.pmod(F.xxhash64("row_id"), F.lit(salts)).alias("salt"), "body").agg(F.max("row_id").alias("best"), F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    salted = rows.groupBy("digest", "salt", "body").agg(F.max("row_id").alias("best"), F.count(F.lit(1)).alias("n"))
     return salted.groupBy("digest", "body").agg(F.max("best").alias("keep_id"), F.sum("n").alias("group_size"))
 
 
@@ -91,7 +93,10 @@ def _one_top(flagged: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """``docs`` without the rows that lose, all columns as they were.
 
-    The losers' (id, digest) list is written to the shared folder; up to
+    Null and empty texts are one text, of which one row stays; a null id loses
+    to any other; of rows that repeat id and text one stays; texts of any
+    length are compared whole; an empty table stays empty; extra columns pass
+    through, whatever their names. The losers' (id, digest) list is written to the shared folder; up to
     ``BROADCAST_ROWS`` of them are broadcast, more are joined by a shuffle.
     """
     flags = exact_dedup(docs, id_col, text_col, salts)
