@@ -29,6 +29,8 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 _BLOCK = 8  # bits of a rank within its block
 _LOW = (1 << _BLOCK) - 1
 _BITS = [1 << i for i in range(1 << _BLOCK)]
+#: Characters from which on a text's pre-tokens are not held at once.
+LONG_TEXT = 1 << 20
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -105,7 +107,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Cache(dict):
-    """Ids of pre-tokens as bytes; two generations, so that common ones survive."""
+    """Ids of pre-tokens as bytes; two generations of at most ``size``, so that common ones survive."""
 
     def __init__(self, ranks: dict[bytes, int], size: int):
         self.ranks, self.size, self.old = ranks, size, {}
@@ -115,15 +117,12 @@ class _Cache(dict):
         if ids is None:
             ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
         if len(piece) <= 64:
+            if len(self) >= self.size:  # the full generation becomes the old one
+                self.old = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
-    def trim(self) -> None:
-        """Between texts: the full generation becomes the old one."""
-        if len(self) > self.size:
-            self.old = dict(self)
-            self.clear()
-
 
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -135,47 +134,73 @@ class Bpe:
 
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN, cached: int = 400_000):
         self.ranks = load_ranks(path)
-        self.cut = regex.compile(pattern).findall
+        self.cut = regex.compile(pattern)
         self.cache = _Cache(self.ranks, cached)
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, i in self.ranks.items():
             self.tokens[i] = token
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        self.cache.trim()
-        return b"".join(map(self.cache.__getitem__, self.cut(text)))
+        """Ids as little-endian unsigned 32-bit integers.
+
+        The pre-tokens of a long text are walked one by one, not listed first.
+        """
+        if len(text) <= LONG_TEXT:
+            pieces = self.cut.findall(text)
+        else:
+            pieces = (m[0] for m in self.cut.finditer(text))
+        return b"".join(map(self.cache.__getitem__, pieces))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """(id, ids) of every row; null text is empty and has no ids. Only the two columns are read."""
-    path = path or public_tokenizers.path(RANKS)
+def _coded(docs: DataFrame, id_col: str, text_col: str, path: str, pattern: str, back: bool) -> DataFrame:
+    """(id, ids) of every row and, if ``back``, decoded; one pass in one worker with one cache."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
 
-    types = [arrow_type(rows, "row_id"), pa.binary()]
+    names = ["row_id", "ids", "decoded"][: 2 + back]
+    types = [arrow_type(rows, "row_id"), pa.binary(), pa.binary()][: 2 + back]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         bpe = kept_in_process(("bpe", path, pattern), lambda: Bpe(path, pattern))
         for key, text in rows_of(batches):
-            yield key, bpe.encode(text)
+            ids = bpe.encode(text)
+            yield (key, ids, bpe.decode(ids)) if back else (key, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here is cyclic; scanning the caches again and again is slow
         try:
-            yield from batches_of(encoded(batches), ["row_id", "ids"], types, 1)
+            yield from batches_of(encoded(batches), names, types, 1)
         finally:
             gc.enable()
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row_id {kind}, ids binary").withColumnRenamed("row_id", id_col)
+    return rows.mapInArrow(run, f"row_id {kind}, ids binary" + ", decoded binary" * back).withColumnRenamed("row_id", id_col)
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """(id, ids) of every row, as little-endian unsigned 32-bit integers.
+
+    A null text is empty and has no ids. Rows are coded one by one, so
+    repeated rows agree and null ids are ordinary; an empty table gives no
+    rows. Long texts and long pre-tokens are coded whole: memory holds one
+    text, its ids and caches of bounded size. Only the two columns are read.
+    """
+    return _coded(docs, id_col, text_col, path or public_tokenizers.path(RANKS), pattern, False)
+
+
+def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """(id, ids, decoded): ``encode`` and ``decode`` in one pass over the texts."""
+    return _coded(docs, id_col, text_col, path or public_tokenizers.path(RANKS), pattern, True)
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
-    """(id, ids, decoded): the bytes that the ids stand for; null ids are none."""
+    """(id, ids, decoded): the bytes that the ids stand for; null ids are none.
+
+    Repeated rows are decoded alike; an empty table gives no rows.
+    """
     path = path or public_tokenizers.path(RANKS)
     rows = encoded.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
 
@@ -194,7 +219,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", pat
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decode(encode(table(spark, sf_dir, "documents")))
+    out = encode_and_decode(table(spark, sf_dir, "documents"))
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -8,8 +8,12 @@ the stored string is equal, so collisions change nothing.
 
 A rule is ``host`` + ``path``, like ``net/`` or ``example.net/en/``. It fits
 its host and all subdomains if the URL's path starts with the rule's path. A
-URL's candidates are its host suffixes at label bounds times its path prefixes
-of the lengths that occur among the rules, longest first.
+URL's candidates are its host suffixes of the label counts that occur among the
+rules times its path prefixes of the lengths that occur, so their number does
+not grow with the URL.
+
+Lists are tuples or a DataFrame. Their size is measured before anything is
+built; beyond ``MAX_INDEX_BYTES`` they are joined, not sent out.
 """
 
 from __future__ import annotations
@@ -26,18 +30,20 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import arrow_type
-from caseloom.session import shared_dir, table
+from caseloom.llm.common import arrow_type, join_hot
+from caseloom.session import settle, shared_dir, table
 
 _FOLD = {ord("A") + i: ord("a") + i for i in range(26)}
 _URL = re.compile(r"://([^/?#]*)([^?#]*)")
-_MAGIC = b"SDA1"
-#: Above this size the index isn't sent out; the rules are joined instead.
-MAX_INDEX_BYTES = 256 << 20
+_MAGIC = b"SDA2"
+#: Above this size (about 500,000 rules) the index isn't built or sent out; the rules are joined instead.
+MAX_INDEX_BYTES = 32 << 20
+#: Bytes of an entry in the index besides its strings.
+_ENTRY_BYTES = 18
 
 #: The rules that the query is given.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: The method's own list for URLs that no rule fits: hosts known for spam.
+#: The query's sample of a block list for URLs that no rule fits; real lists come as a parameter.
 LISTED_NAMES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 LISTED = tuple((f"{name}.example.{tld}", "/", "block") for name in LISTED_NAMES for tld in ("com", "net", "org"))
 
@@ -61,9 +67,10 @@ def build_index(rules: Iterable[tuple[str, str, str]], digest: Callable[[str], i
     offsets = np.zeros(len(entries) + 1, "<i8")
     np.cumsum([len(b) for b in blobs], out=offsets[1:])
     blocks = np.array([v == "block" for *_, v in entries], "u1")
-    lengths = np.array(sorted({len(p) for _, _, p, _ in entries}, reverse=True), "<i4")
-    head = _MAGIC + struct.pack("<qq", len(entries), len(lengths))
-    return b"".join([head, keys.tobytes(), offsets.tobytes(), lengths.tobytes(), blocks.tobytes(), *blobs])
+    lengths = np.array(sorted({len(p) for _, _, p, _ in entries}), "<i4")
+    labels = np.array(sorted({h.count(".") + 1 for _, h, _, _ in entries}), "<i4")
+    head = _MAGIC + struct.pack("<qqq", len(entries), len(lengths), len(labels))
+    return b"".join([head, keys.tobytes(), offsets.tobytes(), lengths.tobytes(), labels.tobytes(), blocks.tobytes(), *blobs])
 
 
 class DigestIndex:
@@ -71,14 +78,14 @@ class DigestIndex:
 
     def __init__(self, source: str | bytes, digest: Callable[[str], int] = digest64):
         raw = np.frombuffer(source, "u1") if isinstance(source, bytes) else np.memmap(source, "u1", "r")
-        n, m = struct.unpack("<qq", raw[4:20].tobytes())
-        at, parts = 20, []
-        for kind, size in (("<u8", n), ("<i8", n + 1), ("<i4", m), ("u1", n)):
+        n, m, k = struct.unpack("<qqq", raw[4:28].tobytes())
+        at, parts = 28, []
+        for kind, size in (("<u8", n), ("<i8", n + 1), ("<i4", m), ("<i4", k), ("u1", n)):
             width = np.dtype(kind).itemsize * size
             parts.append(raw[at : at + width].view(kind))
             at += width
-        self.keys, self.offsets, lengths, self.blocks = parts
-        self.lengths, self.strings, self.digest = lengths.tolist(), raw[at:], digest
+        self.keys, self.offsets, lengths, labels, self.blocks = parts
+        self.lengths, self.labels, self.strings, self.digest = lengths.tolist(), labels.tolist(), raw[at:], digest
 
     def find(self, texts: list[tuple[str, str]]) -> list[int]:
         """Entry number of each (host, path), or -1."""
@@ -101,7 +108,7 @@ class DigestIndex:
         """(rule string, verdict) of the longest rule that fits, or None."""
         spans, texts = [], []
         for host, path in urls:
-            found = list(candidates(host, path, self.lengths))
+            found = list(candidates(host, path, self.lengths, self.labels))
             spans.append((len(texts), len(texts) + len(found)))
             texts += found
         hits = self.find(texts)
@@ -112,16 +119,22 @@ class DigestIndex:
         return out
 
 
-def candidates(host: str, path: str, lengths: Iterable[int]) -> Iterator[tuple[str, str]]:
-    """Every (host suffix, path prefix) that a rule of these path lengths could be."""
+def candidates(host: str, path: str, lengths: Iterable[int], labels: Iterable[int]) -> Iterator[tuple[str, str]]:
+    """Every (host suffix, path prefix) that a rule of these path lengths and label counts could be.
+
+    ``labels`` rises; the host is walked once from its end.
+    """
+    if not host:
+        return
     prefixes = [path[:n] for n in lengths if n <= len(path)]
-    at = 0
-    while host:
-        for p in prefixes:
-            yield host[at:], p
-        at = host.find(".", at) + 1
-        if not at:
+    at, have = len(host), 0
+    for n in labels:
+        while have < n and at >= 0:
+            at, have = host.rfind(".", 0, at), have + 1
+        if have < n:
             return
+        for p in prefixes:
+            yield host[at + 1 :], p
 
 
 def publish(spark: SparkSession, data: bytes) -> str:
@@ -137,21 +150,48 @@ def publish(spark: SparkSession, data: bytes) -> str:
     return name
 
 
+def _as_table(spark: SparkSession, rules) -> DataFrame:
+    """Rules as (r_host, r_path, r_verdict) with hosts folded, one row a host and path.
+
+    Of a DataFrame's rules with equal host and path the block holds, of
+    tuples' the last.
+    """
+    upper = "".join(map(chr, _FOLD))
+    if isinstance(rules, DataFrame):
+        host, path, verdict = (F.col(c) for c in rules.columns[:3])
+        named = rules.select(F.translate(host, upper, upper.lower()).alias("r_host"), F.coalesce(path, F.lit("")).alias("r_path"), verdict.alias("r_verdict"))
+        return named.filter(F.col("r_host").isNotNull()).groupBy("r_host", "r_path").agg(F.max("r_verdict").alias("r_verdict"))
+    entries = {(h.translate(_FOLD), p): v for h, p, v in rules}
+    return spark.createDataFrame([(*key, v) for key, v in entries.items()], "r_host string, r_path string, r_verdict string")
+
+
+def _index_bytes(rules) -> int:
+    """Size that the rules' index would have, at most."""
+    if isinstance(rules, DataFrame):
+        host, path, _ = (F.col(c) for c in rules.columns[:3])
+        n, chars = rules.agg(F.count(F.lit(1)), F.sum(F.octet_length(host) + F.coalesce(F.octet_length(path), F.lit(0)))).first()
+        return n * _ENTRY_BYTES + (chars or 0)
+    return sum(_ENTRY_BYTES + 4 * len(h + p) for h, p, _ in rules)
+
+
 def judge_urls(pages: DataFrame, rules=RULES, listed=LISTED, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """One row a page: id, host, path, rule, verdict, listed.
 
-    ``rule`` is the longest of ``rules`` that fits, with its verdict; without
-    one it is null and the verdict is that of ``listed`` (column listed has
-    the entry), else ``default``. Null URLs and URLs without ``://`` have
-    empty host and path, fit nothing and get ``default``. Repeated rows are
-    judged alike; only the two named columns are read.
+    ``rules`` and ``listed`` are (host, path, verdict) tuples or a DataFrame
+    with these three columns first. ``rule`` is the longest of ``rules`` that
+    fits, with its verdict; without one it is null and the verdict is that of
+    ``listed`` (column listed has the entry), else ``default``. Null URLs and
+    URLs without ``://`` have empty host and path, fit nothing and get
+    ``default``. Hosts and paths of any length cost time in proportion.
+    Repeated rows are judged alike; an empty table gives no rows, an empty
+    list fits nothing; only the two named columns are read.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(id_col).alias("row_id"), F.col(url_col).alias("url"))
-    files = [build_index(rules), build_index(listed)]
-    if sum(map(len, files)) > MAX_INDEX_BYTES:
+    if _index_bytes(rules) + _index_bytes(listed) > MAX_INDEX_BYTES:
         return _judge_by_join(rows, rules, listed, default).withColumnRenamed("row_id", id_col)
-    names = [publish(spark, data) for data in files]
+    lists = [[tuple(r) for r in _as_table(spark, some).collect()] if isinstance(some, DataFrame) else some for some in (rules, listed)]
+    names = [publish(spark, build_index(some)) for some in lists]
 
     columns = ["row_id", "host", "path", "rule", "verdict", "listed"]
     types = [arrow_type(rows, "row_id"), *[pa.string()] * 5]
@@ -171,18 +211,26 @@ def judge_urls(pages: DataFrame, rules=RULES, listed=LISTED, id_col: str = "page
 
 
 def _judge_by_join(rows: DataFrame, rules, listed, default: str) -> DataFrame:
-    """The same for rule lists too large to send out: an equi-join on candidates."""
+    """The same for rule lists too large to send out: an equi-join on candidates.
+
+    A rule that many pages could meet (``net/``) is a hot key: ``join_hot``
+    broadcasts those few rules, so the pages of a hot host stay spread.
+    """
     spark = rows.sparkSession
-    schema = "which int, r_host string, r_path string, r_verdict string"
-    entries = {(k, h.translate(_FOLD), p): v for k, some in enumerate((rules, listed)) for h, p, v in some}
-    keys = spark.createDataFrame([(*key, v) for key, v in entries.items()], schema)
+    keys = settle(_as_table(spark, rules).withColumn("which", F.lit(0)).unionByName(_as_table(spark, listed).withColumn("which", F.lit(1))), "url-rules")
+    n_labels = F.size(F.split("r_host", r"\."))
+    lengths, labels = keys.agg(F.array_sort(F.collect_set(F.length("r_path"))), F.array_sort(F.collect_set(n_labels))).first()
     upper = "".join(map(chr, _FOLD))
-    parts = rows.withColumn("__n", F.monotonically_increasing_id()).withColumn("host", F.coalesce(F.translate(F.regexp_extract("url", _URL.pattern, 1), upper, upper.lower()), F.lit(""))).withColumn("path", F.coalesce(F.regexp_extract("url", _URL.pattern, 2), F.lit("")))
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(F.split("host", r"\."))), lambda i: F.array_join(F.slice(F.split("host", r"\."), i, F.size(F.split("host", r"\."))), "."))
-    lengths = F.array(*(F.lit(n) for n in sorted({len(p) for _, _, p in entries})))
-    prefixes = F.transform(F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substring("path", F.lit(1), n))
-    probes = parts.select("__n", F.explode(suffixes).alias("r_host"), prefixes.alias("p")).select("__n", "r_host", F.explode("p").alias("r_path"))
-    hits = probes.join(keys, ["r_host", "r_path"])
+    numbered = rows.withColumn("__n", F.monotonically_increasing_id())
+    parts = settle(numbered.select("row_id", "__n", F.coalesce(F.translate(F.regexp_extract("url", _URL.pattern, 1), upper, upper.lower()), F.lit("")).alias("host"), F.coalesce(F.regexp_extract("url", _URL.pattern, 2), F.lit("")).alias("path")), "url-parts")
+    host_labels = F.split("host", r"\.")
+    counts = F.filter(F.array(*map(F.lit, labels)).cast("array<int>"), lambda n: n <= F.size(host_labels))
+    prefixes = F.transform(F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substring("path", F.lit(1), n))
+    probes = parts.filter("host <> ''").select("__n", F.explode(F.transform(counts, lambda n: F.array_join(F.slice(host_labels, F.size(host_labels) - n + 1, n), "."))).alias("r_host"), prefixes.alias("p")).select("__n", "r_host", F.explode("p").alias("r_path"))
+    probes = settle(probes.withColumn("key", F.concat_ws("\0", "r_host", "r_path")), "url-probes")
+    held = keys.groupBy(F.concat_ws("\0", "r_host", "r_path").alias("key")).agg(F.collect_list(F.struct("which", "r_verdict")).alias("rules"))  # one or two
+    wanted = probes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(held, "key")
+    hits = join_hot(probes, wanted, "key", probes.count(), "url-wanted").select("__n", "r_host", "r_path", F.explode("rules").alias("r")).select("__n", "r_host", "r_path", "r.*")
     rank = F.struct(F.length("r_host") + F.length("r_path"), F.length("r_host"))
     best = hits.groupBy("__n").pivot("which", [0, 1]).agg(F.max_by(F.struct(F.concat("r_host", "r_path").alias("s"), F.col("r_verdict").alias("v")), rank))
     out = parts.join(best, "__n", "left")
