@@ -133,7 +133,14 @@ def apply_keep(text: str | None, bitmap: bytes | None) -> tuple[str, int, int]:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """One row a document: id, kept text, n_lines before, n_dropped."""
+    """One row a document: id, kept text, n_lines before, n_dropped.
+
+    A null or empty text is one empty line. Rows that repeat an id count as
+    one document and are judged alike where their texts are equal; a null id
+    is the smallest. A text that loses all its lines is empty. An empty table
+    gives no rows; only the two columns are read. Texts are handled whole, one
+    at a time.
+    """
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     maps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs).withColumnRenamed("doc", "m_doc").withColumnRenamed("tag", "m_tag").hint("shuffle_hash")
     joined = rows.join(maps, F.col("doc").eqNullSafe(F.col("m_doc")) & (F.xxhash64("body") == F.col("m_tag")), "left").select("doc", "body", "bitmap")

@@ -310,7 +310,14 @@ def pack(examples: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", loss
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits(), path: str | None = None, end_id: int = END_ID, pool: int = 512, max_words: int = MAX_WORDS) -> DataFrame:
-    """``tokenize`` and ``pack`` in one pass over the texts: all tokens bear loss."""
+    """``tokenize`` and ``pack`` in one pass over the texts: all tokens bear loss.
+
+    Null and empty texts are one piece, the end id alone. Repeated rows and
+    rows with a null id are packed one by one, so their pieces share an id.
+    A text of any length is cut into pieces; memory holds the pool and the
+    texts whose tokens wait. An empty table gives no pieces; only the two
+    columns are read, so extra columns cannot clash.
+    """
     path = path or public_tokenizers.path(TOKENIZER)
     rows = _texts(docs, id_col, text_col)
     types = [arrow_type(rows, "row_id"), *_TYPES]

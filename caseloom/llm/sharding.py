@@ -132,14 +132,10 @@ def _tree(points: DataFrame, n_dims: int, rooms: list[float]) -> DataFrame:
     return here.withColumn("shard", F.get(leaf, F.col("node")).cast("int"))
 
 
-def kd_shards(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = DIMS) -> DataFrame:
-    """Shard and slot of every row: id, size, text_crc32, shard, slot.
+def _placed(docs: DataFrame, n_shards: int | None, id_col: str, text_col: str, dims: tuple[str, ...], target_bytes: int | None) -> tuple[DataFrame, int, int]:
+    """(row_id, size, crc, group, shard) of every row, the number of rows and that of shards.
 
-    Size is the text's UTF-8 bytes plus 1; a null text counts as empty. Equal
-    texts share a shard unless their group is larger than a shard. Repeated
-    rows all get a slot of their own; null ids and metadata are ordinary
-    values; metadata columns that are missing are left out; an empty table
-    gives no rows. Only the named columns are read.
+    ``group`` is the text's SHA-256; rows with equal id and text have one shard.
     """
     text = F.coalesce(docs[text_col], F.lit(""))
     dims = tuple(d for d in dims if d in docs.columns)
@@ -156,6 +152,7 @@ def kd_shards(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id",
     points = meta.groupBy("group").agg(F.sum("size").alias("weight"), *(F.min(f"d{i}").alias(f"d{i}") for i in range(n_dims))).withColumn("tie", F.pmod(F.xxhash64("group"), F.lit(_TIE)))
     points = settle(points, "shard-points")
     total = points.agg(F.sum("weight")).first()[0] or 0
+    n_shards = n_shards or max(1, math.ceil(total / target_bytes))
     target = total / n_shards
 
     # At most HEAVY * n_shards groups can be above target / HEAVY.
@@ -174,14 +171,28 @@ def kd_shards(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id",
     if heavy:
         where = [(bytearray(g), p, [at.get((g, i), 0) for i in range(p)]) for g, p in parts.items()]
         where_df = F.broadcast(spark.createDataFrame(where, "group binary, parts int, leaves array<int>"))
-        placed = rows.join(where_df, "group").select("row_id", "size", "crc", F.element_at("leaves", part_of + 1).alias("shard"))
-        rest = rows.join(where_df.select("group"), "group", "left_anti").join(light, "group").select("row_id", "size", "crc", "shard")
+        placed = rows.join(where_df, "group").select("row_id", "size", "crc", "group", F.element_at("leaves", part_of + 1).alias("shard"))
+        rest = rows.join(where_df.select("group"), "group", "left_anti").join(light, "group").select("row_id", "size", "crc", "group", "shard")
         placed = placed.unionByName(rest)
     else:
-        placed = rows.join(light, "group").select("row_id", "size", "crc", "shard")
+        placed = rows.join(light, "group").select("row_id", "size", "crc", "group", "shard")
+    return placed, _count(meta), n_shards
+
+
+def kd_shards(docs: DataFrame, n_shards: int | None = N_SHARDS, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = DIMS, target_bytes: int | None = None) -> DataFrame:
+    """Shard and slot of every row: id, size, text_crc32, shard, slot.
 
-    runs = max(1, math.ceil(_count(meta) / (n_shards * RUN_ROWS)))
-    placed = settle(placed.withColumn("run", F.pmod(F.xxhash64("row_id", "crc", F.monotonically_increasing_id()), F.lit(runs))), "shard-placed")
+    The tree has ``n_shards`` leaves, or with None as many as bring a leaf to
+    ``target_bytes`` or less on average. Size is the text's UTF-8 bytes plus 1;
+    a null text counts as empty. Equal texts share a shard unless their group
+    is larger than a shard. Repeated rows all get a slot of their own; null
+    ids and metadata are ordinary values; metadata columns that are missing
+    are left out; an empty table gives no rows; one very long text may fill a
+    shard alone. Only the named columns are read.
+    """
+    placed, n_rows, n_shards = _placed(docs, n_shards, id_col, text_col, dims, target_bytes)
+    runs = max(1, math.ceil(n_rows / (n_shards * RUN_ROWS)))
+    placed = settle(placed.drop("group").withColumn("run", F.pmod(F.xxhash64("row_id", "crc", F.monotonically_increasing_id()), F.lit(runs))), "shard-placed")
     starts = placed.groupBy("shard", "run").count()
     starts = starts.select("shard", "run", (F.sum("count").over(Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("count")).alias("start"))
     numbered = placed.withColumn("nth", F.row_number().over(Window.partitionBy("shard", "run").orderBy("row_id", "crc")))
@@ -193,12 +204,18 @@ def _count(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 
 
-def write_shards(docs: DataFrame, path: str, **options) -> None:
-    """Write every row of ``docs`` under ``path/shard=<k>/``."""
-    id_col = options.get("id_col", "doc_id")
-    placed = kd_shards(docs, **options).select(F.col(id_col).alias("__id"), F.col("text_crc32").alias("__crc"), "shard").distinct()
-    text = F.crc32(F.coalesce(docs[options.get("text_col", "text")], F.lit("")).cast("binary"))
-    docs.join(placed, docs[id_col].eqNullSafe(placed["__id"]) & (text == placed["__crc"])).drop("__id", "__crc").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, n_shards: int | None = N_SHARDS, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = DIMS, target_bytes: int | None = None) -> None:
+    """Write every row of ``docs`` under ``path/shard=<k>/``, each row once.
+
+    Rows find their shard by id and SHA-256 of the text, so null ids, repeated
+    rows and equal check sums change nothing. ``docs`` must have no column
+    shard; other extra columns are written along. An empty table writes no
+    files of rows.
+    """
+    placed, _, _ = _placed(docs, n_shards, id_col, text_col, dims, target_bytes)
+    placed = settle(placed.select(F.col("row_id").alias("__id"), F.col("group").alias("__group"), "shard").distinct(), "shard-rows")
+    group = F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
+    docs.join(placed, docs[id_col].eqNullSafe(placed["__id"]) & (group == placed["__group"])).drop("__id", "__group").write.partitionBy("shard").parquet(path)
 
 
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
