@@ -18,10 +18,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     The cluster names it in ``spark.checkpoint.dir``. Only where nothing is
-    set (tests, a local session) is a temporary one chosen, once a session.
+    set in a local session (tests) is a temporary one chosen, once a session;
+    elsewhere that is an error, for executors would each write to a disk of
+    their own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master {master})")
         named = "file://" + tempfile.mkdtemp(prefix="caseloom-shared-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir() or named

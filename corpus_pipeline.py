@@ -2,6 +2,13 @@
 
 Each stage reads what its predecessor wrote. The first three drop documents
 and return the columns of ``documents``; the last returns packed pieces.
+
+Odd input: null and empty texts have too few words and go in the first stage;
+a null id is the smallest, so it loses to any other in exact dedup and stays
+first in near-dedup; of rows that repeat id and text one stays, rows that
+repeat an id with other texts are one document to near-dedup; extra columns
+pass through to the last stage whatever their names; an empty table stays
+empty. Texts of any length are read whole.
 """
 
 from __future__ import annotations
