@@ -17,6 +17,8 @@ from caseloom.session import settle
 HOT_ROWS = 256
 #: A key is hot above total / HOT_KEYS rows, so there are at most HOT_KEYS hot ones.
 HOT_KEYS = 100_000
+#: Up to so many rows in total the small side is broadcast as a whole.
+FEW_ROWS = 10_000
 
 
 def kept_in_process(key: Hashable, make: Callable[[], object]):
@@ -37,11 +39,11 @@ def join_hot(rows: DataFrame, small: DataFrame, key: str, total: int, label: str
     Rows of hot keys stay where they are: the hot part of ``small`` has at most
     ``HOT_KEYS`` rows whatever the data, for each stands for more than
     ``total / HOT_KEYS`` of the ``total`` rows, and is broadcast. The rest is
-    dealt by key. Up to ``HOT_KEYS`` rows in total, ``small`` is that part as a
-    whole. Beyond, both are read several times: ``rows`` should be a written
+    dealt by key. Of ``FEW_ROWS`` in total ``small`` is broadcast as a whole.
+    Beyond, both are read several times: ``rows`` should be a written
     table, ``small`` is written if ``label`` is given.
     """
-    if total <= HOT_KEYS:
+    if total <= FEW_ROWS:
         return rows.join(F.broadcast(small.drop("n")), key)
     small = settle(small, label) if label else small
     limit = max(HOT_ROWS, total // HOT_KEYS)

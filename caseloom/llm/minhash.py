@@ -51,7 +51,7 @@ class Params:
     component_rows: int = 500
     component_chars: int = 4_000_000
     #: A bucket up to this size is solved in one task; larger ones by leader rounds.
-    block_rows: int = 20_000
+    block_rows: int = 1_000
     block_chars: int = 16_000_000
     #: Leaders of one block compared in one round.
     leaders: int = 64
