@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseloom.plans.base import register
+from caseloom.plans.semantic_cases import SETTLED, VALIDATED
 from caseloom.semantic import parse as sp
 from caseloom.semantic import repair as sp_repair
-from caseloom.session import table
+from caseloom.session import table, values
 
 
 def _orders(spark, d):
@@ -51,3 +52,31 @@ def semantic_quality_report(spark, d):
 def semantic_settled_status(spark, d):
     """Candidates without evidence are removed, so only cut responses still need repair."""
     return sp_repair.read_and_settle(_respond(_orders(spark, d))).select("doc_id", "status")
+
+
+def _case_rows(spark, cases):
+    """The cases' orders and responses as a table."""
+    rows = values(spark, [(name, content, response) for name, content, response, *_ in cases], "doc_id", "case_content_clean", "response")
+    return rows.withColumns({"content_hash": F.sha2("case_content_clean", 256), **{f: F.lit("") for f in sp.FIELDS[1:]}})
+
+
+def _case_sql(cases):
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{name}', '{status}', '{' '.join(codes)}')" for name, _, _, status, codes in cases) + ") AS t(doc_id, status, codes)"
+
+
+@register("semantic_validation_codes", _case_sql(VALIDATED))
+def semantic_validation_codes(spark, d):
+    """Every warning code, each in a small order of its own."""
+    return sp.read_responses(_case_rows(spark, VALIDATED)).select("doc_id", "status", F.array_join("warnings", " ").alias("codes"))
+
+
+@register("semantic_recovery_actions", _case_sql(SETTLED))
+def semantic_recovery_actions(spark, d):
+    return sp_repair.read_and_settle(_case_rows(spark, SETTLED)).select("doc_id", "status", F.array_join("warnings", " ").alias("codes"))
+
+
+@register("semantic_repair_fields", """SELECT doc_id, CASE WHEN nothing THEN '' WHEN k = 3 THEN 'event_summary' WHEN k = 2 OR word = '' THEN 'entities.problem_objects.0' ELSE '' END AS fields
+FROM (SELECT CAST(doc_id AS VARCHAR) AS doc_id, doc_id % 4 AS k, regexp_extract(coalesce(text, ''), '[A-Za-z]+') AS word, coalesce(text, '') = '' AS nothing FROM documents) WHERE NOT nothing""")
+def semantic_repair_fields(spark, d):
+    found = _records(spark, d).filter("status <> 'rejected'")
+    return found.select("doc_id", F.array_join(sp.repair_fields(F.col("warnings")), " ").alias("fields"))

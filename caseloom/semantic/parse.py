@@ -12,13 +12,18 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-# --- fixed values: groups with their limits, source fields, enumerations ---
+from caseloom.semantic import words as w
+from caseloom.semantic.words import FIELDS, Texts
+from caseloom.session import settle
+
+# --- fixed values: groups with their limits, enumerations, warning codes ---
 GROUPS = {"problem_objects": 3, "problem_behaviors": 4, "roads": 4, "intersections": 2, "pois": 4}
-FIELDS = ("case_content_clean", "title_clean", "case_goal_clean", "address_detail_clean")
 INTENTS = ("投诉", "举报", "求助", "咨询", "建议", "表扬", "催办", "反馈", "其他")
 EMOTIONS = ("愤怒", "不满", "焦虑", "无奈", "悲伤", "感谢", "认可")
 SATISFACTION = ("satisfied", "dissatisfied", "mixed", "unknown")
@@ -31,8 +36,11 @@ PRIORITY = ("优先处理", "请优先处理")
 REJECTS = ("missing_doc_id", "empty_semantic_text", "repair_failed")
 REPAIRS = (
     "json_parse_failed", "empty_event_summary", "missing_evidence:", "invalid_source_field:", "surface_evidence_mismatch:",
-    "empty_canonical:", "generic_entity:", "duplicate_entity:", "satisfaction_missing_target_or_evidence",
-    "invalid_satisfaction_target", "template_politeness_as_satisfaction", "urgency_missing_evidence", "template_priority_as_urgency",
+    "empty_canonical:", "generic_entity:", "duplicate_entity:", "road_poi_conflict:", "intersection_shape_conflict:", "poi_shape_conflict:",
+    "request_action_as_behavior:", "normal_service_action_as_behavior:", "canonical_evidence_conflict:",
+    "satisfaction_missing_target_or_evidence", "invalid_satisfaction_target", "unsupported_satisfaction_evidence",
+    "template_politeness_as_satisfaction", "object_attitude_as_emotion:", "unsupported_emotion_evidence:",
+    "urgency_missing_evidence", "template_priority_as_urgency", "possible_history_contamination",
 )
 _FENCE = re.compile(r"```(?:json)?[ \t]*\r?\n?(.*?)\r?\n?```", re.S | re.I)
 _QUOTED = re.compile(r'"(?:\\.|[^"\\])*"|\'(?:\\.|[^\'\\])*\'', re.S)
@@ -172,48 +180,87 @@ def parse_response(text) -> tuple[dict, list[str]]:
     return normalise({})[0], ["json_parse_failed"]
 
 
+#: Checks of an entity in the order of their warnings: code, groups (None: all), whether it is wrong.
+ENTITY_CHECKS = (
+    ("invalid_source_field", None, lambda t, e: e["source_field"] not in FIELDS),
+    ("missing_evidence", None, lambda t, e: not e["evidence"] or e["evidence"] not in t[e["source_field"]]),
+    ("surface_evidence_mismatch", None, lambda t, e: e["surface"] and e["evidence"] and e["surface"] not in e["evidence"] and e["evidence"] not in e["surface"]),
+    ("empty_canonical", None, lambda t, e: not e["canonical"]),
+    ("generic_entity", None, lambda t, e: e["canonical"] in GENERIC or e["surface"] in GENERIC),
+    ("duplicate_entity", None, None),  # needs the group, see validate
+    ("road_poi_conflict", ("roads",), lambda t, e: not w.is_road(e["canonical"])),
+    ("intersection_shape_conflict", ("intersections",), lambda t, e: not w.is_crossing(e["evidence"] or e["surface"] or e["canonical"])),
+    ("poi_shape_conflict", ("pois",), lambda t, e: w.is_no_place(e["surface"]) or w.is_no_place(e["canonical"])),
+    ("request_action_as_behavior", ("problem_behaviors",), w.only_requested),
+    ("normal_service_action_as_behavior", ("problem_behaviors",), lambda t, e: not w.only_requested(t, e) and w.is_service(e)),
+    ("canonical_evidence_conflict", None, lambda t, e: w.name_conflicts(e)),
+)
+TALK_CHECKS = (
+    ("missing_evidence", None, lambda t, x: not t.field_with(x["evidence"])),
+    ("unsupported_intent_evidence", ("intents",), lambda t, x: not w.intent_holds(x["label"], x["evidence"])),
+    ("object_attitude_as_emotion", ("emotions",), lambda t, x: w.has(x["evidence"], w.OBJECT_ATTITUDES)),
+    ("unsupported_emotion_evidence", ("emotions",), lambda t, x: not w.has(x["evidence"], w.OBJECT_ATTITUDES) and not w.emotion_holds(t, x["label"], x["evidence"])),
+)
+#: Checks of satisfaction (m) and urgency (u).
+STATEMENT_CHECKS = (
+    ("satisfaction_missing_target_or_evidence", lambda t, m, u: m["label"] != "unknown" and not (m["target"] and m["evidence"])),
+    ("invalid_satisfaction_target", lambda t, m, u: m["label"] != "unknown" and m["target"] in NO_TARGETS),
+    ("template_politeness_as_satisfaction", lambda t, m, u: m["label"] != "unknown" and m["evidence"] in POLITENESS),
+    ("unsupported_satisfaction_evidence", lambda t, m, u: not w.satisfaction_holds(m["label"], m["evidence"])),
+    ("missing_evidence:discourse.satisfaction", lambda t, m, u: m["evidence"] and not t.field_with(m["evidence"])),
+    ("urgency_missing_evidence", lambda t, m, u: u["level"] != "normal" and not u["evidence"]),
+    ("missing_evidence:discourse.urgency", lambda t, m, u: u["evidence"] and not t.field_with(u["evidence"])),
+    ("template_priority_as_urgency", lambda t, m, u: u["level"] != "normal" and u["evidence"] in PRIORITY),
+)
+#: Checks of the record as a whole: what the texts show and the output lacks or mistakes.
+WHOLE_CHECKS = (
+    ("semantic_gap:problem_objects", lambda t, r: t.has(w.ANOMALIES) and not r["entities"]["problem_objects"]),
+    ("semantic_gap:problem_behaviors", lambda t, r: t.has(w.ANOMALIES) and not r["entities"]["problem_behaviors"]),
+    ("semantic_gap:pois", lambda t, r: t.has(w.POI_GAPS) and not r["entities"]["pois"]),
+    ("possible_history_contamination", lambda t, r: w.has(t[FIELDS[0]], w.HISTORY) and w.has(t[FIELDS[0]], w.CURRENT) and w.has(r["event_summary"], w.SETTLED_SUMMARY) and not w.has(r["event_summary"], w.OPEN_SUMMARY)),
+)
+
+
+def status_of(codes: list[str]) -> str:
+    """The gravest kind of warning decides."""
+    for status, starts in (("rejected", REJECTS), ("repair_required", REPAIRS)):
+        if any(c.startswith(starts) for c in codes):
+            return status
+    return "accepted_with_warnings" if codes else "accepted"
+
+
 def validate(order: dict, found: dict, notes: list[str]) -> tuple[str, list[str]]:
-    """(status, ordered unique warnings): evidence must be literally in the named field."""
-    out = dict.fromkeys(notes)
-    source = {f: _text(order.get(f)) for f in FIELDS}
-    anywhere = lambda s: any(s in v for v in source.values())
-
-    def warn(cond, code: str) -> None:
-        if cond:
-            out[code] = None
-
-    warn("doc_id" in order and not _text(order["doc_id"]), "missing_doc_id")
-    warn(not any(source.values()), "empty_semantic_text")
-    warn(not found["event_summary"], "empty_event_summary")
+    """(status, ordered unique warnings): every check of the tables above, in their order."""
+    texts, out = Texts(order), list(notes)
+    out += ["missing_doc_id"] * ("doc_id" in order and not _text(order["doc_id"]))
+    out += ["empty_semantic_text"] * (not texts.joined)
+    out += ["empty_event_summary"] * (not found["event_summary"])
     for group, items in found["entities"].items():
-        seen = set()
+        names = [(e["canonical"], e["evidence"]) for e in items]
         for k, e in enumerate(items):
-            path = f"entities.{group}.{k}"
-            warn(e["source_field"] not in FIELDS, f"invalid_source_field:{path}")
-            warn(not e["evidence"] or e["evidence"] not in source.get(e["source_field"], ""), f"missing_evidence:{path}")
-            warn(e["surface"] and e["evidence"] and e["surface"] not in e["evidence"] and e["evidence"] not in e["surface"], f"surface_evidence_mismatch:{path}")
-            warn(not e["canonical"], f"empty_canonical:{path}")
-            warn(e["canonical"] in GENERIC or e["surface"] in GENERIC, f"generic_entity:{path}")
-            key = (e["canonical"], e["evidence"])
-            warn(key in seen, f"duplicate_entity:{path}")
-            seen.add(key)
+            for code, groups, wrong in ENTITY_CHECKS:
+                if (groups is None or group in groups) and (wrong(texts, e) if wrong else names[k] in names[:k]):
+                    out.append(f"{code}:entities.{group}.{k}")
     talk = found["discourse"]
-    for name in ("intents", "emotions"):
-        for k, item in enumerate(talk[name]):
-            warn(not item["evidence"] or not anywhere(item["evidence"]), f"missing_evidence:discourse.{name}.{k}")
-    mood, haste = talk["satisfaction"], talk["urgency"]
-    if mood["label"] != "unknown":
-        warn(not mood["target"] or not mood["evidence"], "satisfaction_missing_target_or_evidence")
-        warn(mood["target"] in NO_TARGETS, "invalid_satisfaction_target")
-        warn(mood["evidence"] in POLITENESS, "template_politeness_as_satisfaction")
-    warn(mood["evidence"] and not anywhere(mood["evidence"]), "missing_evidence:discourse.satisfaction")
-    if haste["level"] != "normal":
-        warn(not haste["evidence"], "urgency_missing_evidence")
-        warn(haste["evidence"] in PRIORITY, "template_priority_as_urgency")
-    warn(haste["evidence"] and not anywhere(haste["evidence"]), "missing_evidence:discourse.urgency")
-    codes = list(out)
-    status = "rejected" if any(c.startswith(REJECTS) for c in codes) else "repair_required" if any(c.startswith(REPAIRS) for c in codes) else "accepted_with_warnings" if codes else "accepted"
-    return status, codes
+    for group in ("intents", "emotions"):
+        for k, item in enumerate(talk[group]):
+            out += [f"{code}:discourse.{group}.{k}" for code, groups, wrong in TALK_CHECKS if (groups is None or group in groups) and wrong(texts, item)]
+    out += [code for code, wrong in STATEMENT_CHECKS if wrong(texts, talk["satisfaction"], talk["urgency"])]
+    out += [code for code, wrong in WHOLE_CHECKS if wrong(texts, found)]
+    codes = list(dict.fromkeys(out))
+    return status_of(codes), codes
+
+
+def repair_fields(warnings: Column) -> Column:
+    """Paths that a repair should look at, ordered and unique, from a warnings column."""
+
+    def of(code: Column) -> Column:
+        path = F.regexp_extract(code, r"^[^:]*:((?:entities|discourse)\..*)$", 1)
+        whole = F.when(code.contains("satisfaction"), "discourse.satisfaction").when(code.contains("urgency"), "discourse.urgency")
+        whole = whole.when(code.isin("empty_event_summary", "possible_history_contamination"), "event_summary")
+        return F.coalesce(F.nullif(path, F.lit("")), whole)
+
+    return F.array_distinct(F.array_compact(F.transform(warnings, of)))
 
 
 _ENTITY = "array<struct<surface:string,canonical:string,source_field:string,evidence:string>>"
@@ -223,23 +270,37 @@ SEMANTIC = (
 )
 
 
+def judged(rows: DataFrame, judge, response: str = "response") -> DataFrame:
+    """One Arrow pass over orders with responses; ``judge(order, response)`` gives (record, status, warnings)."""
+    schema = f"doc_id string, content_hash string, {SEMANTIC}"
+    kind = to_arrow_schema(StructType.fromDDL(schema))
+    names = ["doc_id", "content_hash", *FIELDS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 1000):
+                cells = (c.to_pylist() for c in b.slice(lo, 1000).columns)
+                out = []
+                for *cell, text in zip(*cells, strict=True):
+                    order = dict(zip(names, cell, strict=True))
+                    record, status, codes = judge(order, text)
+                    out.append({"doc_id": order["doc_id"], "content_hash": order["content_hash"], **record, "status": status, "warnings": codes})
+                yield pa.RecordBatch.from_pylist(out, schema=kind)
+
+    return rows.select(*names, response).mapInArrow(run, schema)
+
+
 def read_responses(rows: DataFrame, response: str = "response") -> DataFrame:
     """Orders with a model response each to semantic records (one Arrow pass, no shuffle).
 
     ``rows`` has doc_id, content_hash, the four clean fields and ``response``.
     """
-    wanted = ["doc_id", "content_hash", *FIELDS, response]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for row in b.to_dict("records"):
-                found, notes = parse_response(row.pop(response))
-                status, codes = validate(row, found, notes)
-                out.append({"doc_id": row["doc_id"], "content_hash": row["content_hash"], **found, "status": status, "warnings": codes})
-            yield pd.DataFrame(out, columns=["doc_id", "content_hash", "event_summary", "entities", "discourse", "status", "warnings"])
+    def judge(order: dict, text) -> tuple[dict, str, list[str]]:
+        found, notes = parse_response(text)
+        return found, *validate(order, found, notes)
 
-    return rows.select(*wanted).mapInPandas(run, f"doc_id string, content_hash string, {SEMANTIC}")
+    return judged(rows, judge, response)
 
 
 # --- fixed values: entity type of each group ---
@@ -275,16 +336,18 @@ def extract(orders: DataFrame, generate, done: DataFrame | None = None, repair:
 
     ``generate(frame, phase)`` is a DataFrame function that adds ``response``
     (a model behind ``mapInPandas``, or a fake in tests). ``done`` has the
-    accepted identities (doc_id, content_hash), which are skipped.
+    accepted identities (doc_id, content_hash), which are skipped. Responses
+    go through recovery and removal to a fixed point. What a model said is
+    written once a phase, so no action asks it again.
     """
-    todo = orders.join(done.select("doc_id", "content_hash"), ["doc_id", "content_hash"], "left_anti") if done is not None else orders
-    from caseloom.session import settle
+    from caseloom.semantic.repair import read_and_settle
 
-    first = settle(read_responses(generate(todo, "primary")), "semantic-primary")
+    todo = orders.join(done.select("doc_id", "content_hash"), ["doc_id", "content_hash"], "left_anti") if done is not None else orders
+    first = settle(read_and_settle(generate(todo, "primary")), "semantic-primary")
     if not repair:
         return first
     needy = todo.join(first.filter("status = 'repair_required'").select("doc_id", "content_hash"), ["doc_id", "content_hash"], "left_semi")
-    second = read_responses(generate(needy, "repair"))
+    second = settle(read_and_settle(generate(needy, "repair")), "semantic-repair")
     failed = F.array_union(F.array(F.lit("repair_failed")), F.col("warnings"))
     second = second.withColumn("warnings", F.when(F.col("status") == "repair_required", failed).otherwise(F.col("warnings"))).withColumn("status", F.when(F.col("status") == "repair_required", "rejected").otherwise(F.col("status")))
     return first.filter("status <> 'repair_required'").unionByName(second)

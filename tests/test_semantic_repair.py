@@ -2,7 +2,7 @@
 
 import pytest
 
-from caseloom.semantic import repair
+from caseloom.semantic import repair, words
 from caseloom.semantic.parse import normalise, parse_response, validate
 
 
@@ -41,12 +41,12 @@ def test_intents():
     [("市民表示非常气愤", "愤怒", "非常气愤"), ("商家非常气愤", "愤怒", ""), ("市民不认可", "认可", ""), ("其不认可", "不满", "其不认可"), ("市民对此表示认可", "认可", "认可")],
 )
 def test_emotion_owner(text, label, word):
-    assert repair.emotion_in(order(case_content_clean=text), label)[0] == word
+    assert words.emotion_in(words.Texts(order(case_content_clean=text)), label)[0] == word
 
 
 @pytest.mark.parametrize(("text", "want"), [("不是很满意", (False, True)), ("满意", (True, False)), ("满意但不认可", (True, True)), ("满意度不高", (False, True)), ("无", (False, False))])
 def test_polarity(text, want):
-    assert repair.polarity(text) == want
+    assert words.polarity(text) == want
 
 
 def test_statements_are_reset():
