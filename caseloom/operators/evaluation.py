@@ -64,7 +64,7 @@ def ir_metrics(ranked: DataFrame, qrels: DataFrame, k: int) -> DataFrame:
     ideal = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("relevant"), F.sum(F.when(F.col("r") <= k, gain(F.col("grade")) / F.log2(F.col("r") + 1.0)).otherwise(0.0)).alias("idcg"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     rows = ideal.join(found, "query_id", "left")
-    return rows.select("query_id", F.round(zero("hits") / k, 6).alias("p_at_k"), F.round(zero("hits") / F.col("relevant"), 6).alias("r_at_k"), F.round(F.when(F.col("idcg") > 0, zero("dcg") / F.col("idcg")), 6).alias("ndcg"), F.round(F.coalesce(1.0 / F.col("first"), F.lit(0.0)), 6).alias("mrr"))
+    return rows.select("query_id", F.round(zero("hits") / k, 4).alias("p_at_k"), F.round(zero("hits") / F.col("relevant"), 4).alias("r_at_k"), F.round(F.when(F.col("idcg") > 0, zero("dcg") / F.col("idcg")), 4).alias("ndcg"), F.round(F.coalesce(1.0 / F.col("first"), F.lit(0.0)), 4).alias("mrr"))
 
 
 def weak_metrics(ranked: DataFrame, gold: DataFrame, k: int) -> DataFrame:
@@ -75,13 +75,99 @@ def weak_metrics(ranked: DataFrame, gold: DataFrame, k: int) -> DataFrame:
     return hit.crossJoin(F.broadcast(total)).select("returned", "hits", "gold", F.round(F.when(F.col("returned") > 0, F.col("hits") / F.col("returned")).otherwise(0.0), 6).alias("p_at_k"), F.round(F.when(F.col("gold") > 0, F.col("hits") / F.col("gold")).otherwise(0.0), 6).alias("r_at_k"))
 
 
-def oracle_rollup(members: DataFrame, specs: DataFrame) -> DataFrame:
-    """Seed scores of many queries at once: (query_id, doc_id, score, n_events).
+SEED, HOP = "seed_entity", "one_hop_expansion"
+
+
+def oracle_query(members: DataFrame, specs: DataFrame, queries: DataFrame) -> DataFrame:
+    """Ranked documents of many queries at once, from same-event seeds and one hop.
 
     ``members`` has event_id, doc_id, entity_type, value; ``specs`` query_id,
-    group, entity_type, value and n_groups. An event counts if it hits every
-    group; it scores 10 a matched entity, and a document has its best event.
+    group, entity_type, value; ``queries`` query_id, n_groups, operator,
+    frontier (array of types, null or empty: no hop) and max_expanded. An event
+    is a seed if it hits every group (AND) or any (OR) and scores 10 a matched
+    entity; other events that share frontier entities of a query's seeds score
+    3 each less 5. A document has its best event's score, is a seed if any of
+    its events is, and unites what matched. Expanded documents are cut to the
+    best ``max_expanded`` of a query; then all are ranked by score, seeds first
+    on ties, then id.
+    """
+    members = members.select("event_id", "doc_id", "entity_type", "value").distinct()
+    name = F.concat_ws(":", "entity_type", "value")
+    found = lambda rows: rows.groupBy("query_id", "event_id", "doc_id").agg(F.count_distinct("group").alias("got"), F.collect_set(name).alias("names"))
+    hit = found(members.join(specs, ["entity_type", "value"])).join(queries, "query_id")
+    seed = hit.filter(F.when(F.upper("operator") == "OR", F.lit(1)).otherwise(F.col("n_groups")) <= F.col("got"))
+    at = seed.select("query_id", "event_id", "frontier").join(members, "event_id").filter(F.array_contains("frontier", F.col("entity_type"))).select("query_id", "entity_type", "value").distinct()
+    hop = found(members.join(at, ["entity_type", "value"]).withColumn("group", F.lit(0))).join(seed.select("query_id", "event_id"), ["query_id", "event_id"], "left_anti")
+
+    scored = seed.select("query_id", "doc_id", "names", F.lit(SEED).alias("stage"), (F.size("names") * 10.0).alias("score"))
+    scored = scored.unionByName(hop.select("query_id", "doc_id", "names", F.lit(HOP).alias("stage"), (F.size("names") * 3.0 - 5.0).alias("score")))
+    of = lambda stage: F.count(F.when(F.col("stage") == stage, 1))
+    docs = scored.groupBy("query_id", "doc_id").agg(F.max("stage").alias("match_stage"), F.max("score").alias("score"), of(SEED).alias("seed_events"), of(HOP).alias("expanded_events"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("matched_entities"))
+    nth = F.row_number().over(Window.partitionBy("query_id", "match_stage").orderBy(F.desc("score"), "doc_id"))
+    kept = docs.withColumn("nth", nth).join(queries.select("query_id", "max_expanded"), "query_id").filter((F.col("match_stage") == SEED) | (F.col("nth") <= F.col("max_expanded")))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("match_stage"), "doc_id"))
+    return kept.withColumn("rank", rank).drop("nth", "max_expanded")
+
+
+def oracle_metrics(ranked: DataFrame, qrels: DataFrame, cutoffs: tuple[int, ...] = (5, 10)) -> DataFrame:
+    """One row a query of ``qrels``: precision, recall and nDCG at each cutoff, MRR, and how seeds and hops did.
+
+    ``ranked`` comes from ``oracle_query``; ``qrels`` has query_id, doc_id and
+    grade (1 and more). Four digits; the hop's rates are null without a hop.
     """
-    hit = members.join(F.broadcast(specs), ["entity_type", "value"])
-    events = hit.groupBy("query_id", "n_groups", "event_id", "doc_id").agg(F.count_distinct("group").alias("got"), F.count_distinct("entity_type", "value").alias("matched")).filter("got = n_groups")
-    return events.groupBy("query_id", "doc_id").agg((F.max("matched") * 10.0).alias("score"), F.count(F.lit(1)).alias("n_events"))
+    gain, rank, relevant = F.pow(F.lit(2.0), F.col("grade")) - 1, F.col("rank"), F.col("grade").isNotNull()
+    count = lambda cond: F.count(F.when(cond, 1))
+    seed, hop = F.col("match_stage") == SEED, F.col("match_stage") == HOP
+    judged = ranked.join(qrels, ["query_id", "doc_id"], "left")
+    sums = [x for k in cutoffs for x in (count(relevant & (rank <= k)).alias(f"hits_{k}"), F.sum(F.when(rank <= k, gain / F.log2(rank + 1.0))).alias(f"dcg_{k}"))]
+    got = judged.groupBy("query_id").agg(*sums, F.min(F.when(relevant, rank)).alias("first"), F.count(F.lit(1)).alias("retrieved"), count(seed).alias("seeds"), count(hop).alias("hops"), count(seed & relevant).alias("good_seeds"), count(hop & relevant).alias("good_hops"))
+    best = qrels.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("grade"), "doc_id")))
+    ideal = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("relevant"), *(F.sum(F.when(rank <= k, gain / F.log2(rank + 1.0))).alias(f"idcg_{k}") for k in cutoffs))
+    rows = ideal.join(got, "query_id", "left")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    at = [x for k in cutoffs for x in (F.round(n(f"hits_{k}") / k, 4).alias(f"precision_{k}"), F.round(n(f"hits_{k}") / F.col("relevant"), 4).alias(f"recall_{k}"), F.round(F.when(F.col(f"idcg_{k}") > 0, n(f"dcg_{k}") / F.col(f"idcg_{k}")).otherwise(0.0), 4).alias(f"ndcg_{k}"))]
+    hop_rate = lambda part: F.round(F.when(n("hops") > 0, part / n("hops")), 4)
+    return rows.select(
+        "query_id", *at, F.round(F.coalesce(1.0 / F.col("first"), F.lit(0.0)), 4).alias("mrr"), "relevant", n("retrieved").alias("retrieved"), n("seeds").alias("seeds"), n("hops").alias("hops"),
+        F.round(n("good_seeds") / F.col("relevant"), 4).alias("seed_recall"), ratio(n("seeds") - n("good_seeds"), n("seeds")).alias("false_seed_rate"),
+        hop_rate(n("good_hops")).alias("one_hop_precision"), hop_rate(n("hops") - n("good_hops")).alias("erroneous_expansion_rate"),
+    )
+
+
+COUNTED = ("query_id", "relevant", "retrieved", "seeds", "hops")
+
+
+def macro_deltas(one: DataFrame, other: DataFrame, names: tuple[str, str] = ("flat", "issue_aware")) -> DataFrame:
+    """(metric, first, second, delta): averages over queries, nulls skipped, and second less first."""
+    metrics = [c for c in one.columns if c not in COUNTED]
+
+    def means(df: DataFrame, name: str) -> DataFrame:
+        row = df.agg(*(F.round(F.avg(c), 4).alias(c) for c in metrics))
+        return row.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).alias(name)) for c in metrics))).alias("x")).select("x.*")
+
+    first, second = names
+    return means(one, first).join(means(other, second), "metric").withColumn("delta", F.round(F.col(second) - F.col(first), 4))
+
+
+def paired_effects(one: DataFrame, other: DataFrame, qrels: DataFrame) -> DataFrame:
+    """One row of twelve counters: what the second ranking drops, promotes and adds against the first."""
+    stage = lambda df, name: df.select("query_id", "doc_id", F.col("match_stage").alias(name))
+    both = stage(one, "a").join(stage(other, "b"), ["query_id", "doc_id"], "full_outer").join(qrels.select("query_id", "doc_id", F.lit(True).alias("good")), ["query_id", "doc_id"], "left")
+    a, b, good = F.col("a"), F.col("b"), F.coalesce("good", F.lit(False))
+    seeds_only = (a == SEED) & ~F.coalesce(b == SEED, F.lit(False))
+    groups = {
+        "flat_seed_docs": seeds_only, "flat_expansion_docs": (a == HOP) & b.isNull(), "issue_expansion_docs": (b == HOP) & a.isNull(),
+        "flat_result_docs": a.isNotNull() & b.isNull(), "issue_result_docs": b.isNotNull() & a.isNull(),
+    }
+    count = lambda cond, name: F.count(F.when(cond, 1)).alias(name)
+    out = [count(seeds_only, "flat_only_seed_docs"), count((a == HOP) & (b == SEED), "flat_expansion_promoted_to_issue_seed")]
+    for name, cond in groups.items():
+        bad_word, good_word = ("removed_irrelevant", "lost_relevant") if name.startswith("flat") else ("new_irrelevant", "new_relevant")
+        out += [count(cond & ~good, f"{bad_word}_{name}"), count(cond & good, f"{good_word}_{name}")]
+    return both.agg(*out)
+
+
+def oracle_rollup(members: DataFrame, specs: DataFrame) -> DataFrame:
+    """Seeds alone, every group asked for: (query_id, doc_id, score, n_events)."""
+    queries = specs.groupBy("query_id").agg(F.count_distinct("group").alias("n_groups")).withColumns({"operator": F.lit("AND"), "frontier": F.lit(None).cast("array<string>"), "max_expanded": F.lit(0)})
+    return oracle_query(members, specs, queries).select("query_id", "doc_id", "score", F.col("seed_events").alias("n_events"))

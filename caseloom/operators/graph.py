@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import clean, short_hash, squeeze
-from caseloom.session import values
+from caseloom.session import numbered, settle, values
 
 # --- fixed values: entity types that may carry an expansion ---
 FRONTIER_TYPES = ("problem_object", "problem_behavior", "area", "street", "road", "intersection", "poi", "case_type", "time_month", "department", "lnglat")
@@ -117,8 +117,73 @@ def query_graph(links: DataFrame, events: DataFrame, q: GraphQuery, discourse: D
         more = expansion(links, events, seed, q, discourse)
         rows = rows.unionByName(more.select("event_id", "doc_id", F.lit("one_hop_expansion").alias("match_stage"), none.alias("matched"), "shared", "confidence_sum"))
     rows = rows.withColumn("score", structural_score(F.col("match_stage"), F.col("matched"), F.col("shared"), F.col("confidence_sum")))
-    # The result is bounded by seeds and the expansion cap; its rank is global by definition.
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "match_stage", "doc_id")))
+    return numbered(rows, "rank", F.desc("score"), F.asc("match_stage"), F.asc("doc_id"), F.asc("event_id"))
+
+
+def explained(links: DataFrame, ranked: DataFrame, q: GraphQuery) -> DataFrame:
+    """``ranked`` with ``matched_entities``: sorted distinct "type:value" that made each row's score.
+
+    For a seed these are its entities in the seed groups, for an expansion
+    those at the frontier; both are read for the ranked events only, so a list
+    is bounded by one event's links.
+    """
+    seed = ranked.filter("match_stage = 'seed_entity'")
+    name = F.concat_ws(":", "entity_type", "entity_value").alias("name")
+    hit = seed_hits(links, q).join(seed.select("event_id"), "event_id", "left_semi").select("event_id", F.lit("seed_entity").alias("match_stage"), name)
+    others = ranked.filter("match_stage <> 'seed_entity'").select("event_id")
+    near = links.join(frontier(links, seed, q).select("entity_id"), "entity_id", "left_semi").join(others, "event_id", "left_semi")
+    names = hit.unionByName(near.select("event_id", F.lit("one_hop_expansion").alias("match_stage"), name))
+    lists = names.groupBy("event_id", "match_stage").agg(F.array_sort(F.collect_set("name")).alias("matched_entities"))
+    return ranked.join(lists, ["event_id", "match_stage"], "left")
+
+
+# --- the stored graph ---
+def store_graph(events: DataFrame, links: DataFrame, label: str) -> dict[str, DataFrame]:
+    """Write the graph's tables once and give them back: events, links, entities.
+
+    Links are clustered by entity, so that a query for entities reads few row
+    groups; what follows joins stored tables, not the plan that made them.
+    """
+    clustered = links.repartitionByRange("entity_type", "normalized_value").sortWithinPartitions("entity_type", "normalized_value", "event_id")
+    stored = settle(clustered, f"{label}-links")
+    return {"events": settle(events, f"{label}-events"), "links": stored, "entities": settle(entity_dictionary(stored), f"{label}-entities")}
+
+
+def load_counts(graph: dict[str, DataFrame]) -> DataFrame:
+    """(name, n): rows of each stored table."""
+    counts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in sorted(graph.items())]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def report(links: DataFrame, ranked: DataFrame, rows: DataFrame, facets: dict[str, Column], entity_types: tuple[str, ...], coverage: tuple[str, ...]) -> DataFrame:
+    """The query's report as (section, key, value, n): stages, facets, entity facets, coverage by channel.
+
+    ``rows`` has the matched documents' metadata by doc_id. ``ranked`` is
+    written once, for every section reads it.
+    """
+    ranked = settle(ranked, "graph-report")
+    cells = lambda df, section, key, value: df.select(F.lit(section).alias("section"), key.alias("key"), value.cast("string").alias("value"), F.col("n").cast("long").alias("n"))
+    stages = ranked.groupBy("match_stage").agg(F.count(F.lit(1)).alias("n"))
+    matched = rows.join(ranked.select("doc_id").distinct(), "doc_id", "left_semi")
+    out = cells(stages, "stage", F.lit("match_stage"), F.col("match_stage"))
+    out = out.unionByName(cells(facet_counts(matched, facets), "facet", F.col("facet"), F.col("value")))
+    out = out.unionByName(cells(entity_facets(links, ranked, entity_types), "entity", F.col("facet"), F.col("value")))
+    covered = entity_coverage(links, ranked, coverage).withColumnRenamed("docs", "n")
+    out = out.unionByName(cells(covered, "coverage", F.lit("documents"), F.col("entity_type")))
+    return out.unionByName(cells(entity_channels(links, ranked), "channel", F.col("source_channel"), F.col("entity_type")))
+
+
+def entity_channels(links: DataFrame, matched: DataFrame) -> DataFrame:
+    """(entity_type, source_channel, n): matched documents with a link of the type from the channel."""
+    return links.join(matched.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("entity_type", "source_channel").agg(F.count_distinct("doc_id").alias("n"))
+
+
+def representatives(ranked: DataFrame, rows: DataFrame, limit: int) -> DataFrame:
+    """The best ``limit`` ranked rows with their documents' columns (none where the document is missing)."""
+    return ranked.orderBy("rank").limit(limit).join(rows, "doc_id", "left")
 
 
 # --- reports over matched documents ---
@@ -169,3 +234,8 @@ def degree_summary(df: DataFrame, column: str) -> list[Column]:
     """count, min, p50, p95, max, mean of a number, interpolated, four digits."""
     c = F.col(column)
     return [F.count(c).alias("n"), F.min(c).cast("double").alias("lo"), F.round(F.percentile(c, F.lit(0.5)), 4).alias("p50"), F.round(F.percentile(c, F.lit(0.95)), 4).alias("p95"), F.max(c).cast("double").alias("hi"), F.round(F.avg(c), 4).alias("mean")]
+
+
+def generic_noise(links: DataFrame, stop: tuple[str, ...]) -> DataFrame:
+    """(entity_type, entity_value, n): links to entities too general to mean anything."""
+    return links.filter(F.col("entity_value").isin(*stop)).groupBy("entity_type", "entity_value").agg(F.count(F.lit(1)).alias("n"))

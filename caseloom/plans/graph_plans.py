@@ -19,32 +19,51 @@ FLAGSHIP = graph.GraphQuery(
 EITHER = graph.GraphQuery(groups=FLAGSHIP.groups, operator="OR", month_from="1996-01", month_to="1996-03")
 
 
-def links(spark: SparkSession, d: str) -> DataFrame:
+def build_links(spark: SparkSession, d: str) -> DataFrame:
     """Event-entity links of the order tables; the line number is the source field."""
     line, part, orders, supp, cust, nation = (table(spark, d, t) for t in ("lineitem", "part", "orders", "supplier", "customer", "nation"))
 
-    def rows(df, kind, value, confidence, key, ordinal):
-        return df.select(F.col(key).cast("string").alias("event_id"), F.col(key).cast("string").alias("doc_id"), F.lit(kind).alias("entity_type"), F.col(value).alias("entity_value"), F.col(value).alias("normalized_value"), F.lit(confidence).alias("confidence"), F.lit(ordinal).cast("int").alias("ordinal") if isinstance(ordinal, int) else F.col(ordinal).cast("int").alias("ordinal"))
+    def rows(df, kind, value, confidence, key, ordinal, channel):
+        return df.select(F.col(key).cast("string").alias("event_id"), F.col(key).cast("string").alias("doc_id"), F.lit(kind).alias("entity_type"), F.col(value).alias("entity_value"), F.col(value).alias("normalized_value"), F.lit(confidence).alias("confidence"), F.lit(ordinal).cast("int").alias("ordinal") if isinstance(ordinal, int) else F.col(ordinal).cast("int").alias("ordinal"), F.lit(channel).alias("source_channel"))
 
     placed = orders.join(cust, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    out = rows(line.join(part, F.col("l_partkey") == F.col("p_partkey")), "problem_object", "p_brand", 0.7, "l_orderkey", "l_linenumber")
-    out = out.unionByName(rows(line.join(supp, F.col("l_suppkey") == F.col("s_suppkey")), "poi", "s_name", 0.6, "l_orderkey", "l_linenumber"))
-    out = out.unionByName(rows(orders, "problem_behavior", "o_orderpriority", 1.0, "o_orderkey", 0))
-    out = out.unionByName(rows(placed, "area", "n_name", 0.9, "o_orderkey", 0))
+    out = rows(line.join(part, F.col("l_partkey") == F.col("p_partkey")), "problem_object", "p_brand", 0.7, "l_orderkey", "l_linenumber", "line")
+    out = out.unionByName(rows(line.join(supp, F.col("l_suppkey") == F.col("s_suppkey")), "poi", "s_name", 0.6, "l_orderkey", "l_linenumber", "line"))
+    out = out.unionByName(rows(orders, "problem_behavior", "o_orderpriority", 1.0, "o_orderkey", 0, "order"))
+    out = out.unionByName(rows(placed, "area", "n_name", 0.9, "o_orderkey", 0, "metadata"))
     return out.withColumn("entity_id", graph.entity_id(F.col("entity_type"), F.col("normalized_value")))
 
 
-def events(spark: SparkSession, d: str) -> DataFrame:
+def build_events(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("o_orderkey").cast("string")
     return table(spark, d, "orders").select(key.alias("event_id"), key.alias("doc_id"), F.date_format("o_orderdate", "yyyy-MM").alias("event_month"))
 
 
+_STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def stored(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The graph of a folder's tables, built and written once a Spark application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        _STORED[key] = graph.store_graph(build_events(spark, d), build_links(spark, d), "graph")
+    return _STORED[key]
+
+
+def links(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d)["links"]
+
+
+def events(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d)["events"]
+
+
 GRAPH_SQL = """
 links0 AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS event_id, 'problem_object' AS entity_type, p_brand AS entity_value, 0.7e0 AS confidence, l_linenumber AS ordinal FROM lineitem JOIN part ON l_partkey = p_partkey
-  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 'poi', s_name, 0.6e0, l_linenumber FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'problem_behavior', o_orderpriority, 1.0e0, 0 FROM orders
-  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'area', n_name, 0.9e0, 0 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  SELECT CAST(l_orderkey AS VARCHAR) AS event_id, 'problem_object' AS entity_type, p_brand AS entity_value, 0.7e0 AS confidence, l_linenumber AS ordinal, 'line' AS source_channel FROM lineitem JOIN part ON l_partkey = p_partkey
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 'poi', s_name, 0.6e0, l_linenumber, 'line' FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'problem_behavior', o_orderpriority, 1.0e0, 0, 'order' FROM orders
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'area', n_name, 0.9e0, 0, 'metadata' FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 ), links AS (
   SELECT *, event_id AS doc_id, 'entity_' || substr(sha256(entity_type || ':' || entity_value), 1, 16) AS entity_id FROM links0
 ), events AS (
@@ -157,10 +176,14 @@ def graph_entity_dictionary(spark, d):
     return graph.entity_dictionary(links(spark, d)).select("entity_id", "entity_type", "entity_value", "n_links")
 
 
-@register("graph_json_membership_filter", "SELECT event_id, user_id FROM events WHERE json_extract_string(props, '$.k') IN ('3', '5') AND event_type = 'click'")
+@register("graph_json_membership_filter", "SELECT CAST(event_id AS VARCHAR) AS event_id FROM events WHERE json_extract_string(props, '$.k') IN ('3', '5') AND event_type IN ('click', 'view') AND user_id % 2 = 0")
 def graph_json_membership_filter(spark, d):
-    wanted = F.from_json(F.lit('["3","5"]'), "array<string>")
-    return table(spark, d, "events").filter((F.col("event_type") == "click") & F.array_contains(wanted, F.get_json_object("props", "$.k"))).select("event_id", "user_id")
+    """Discourse filters: an intent inside a JSON array, urgency among some, satisfaction equal."""
+    rows = table(spark, d, "events")
+    k = F.get_json_object("props", "$.k")
+    talk = rows.select(F.col("event_id").cast("string").alias("event_id"), F.to_json(F.array(F.when(k.isin("3", "5"), "wanted").otherwise("other"), F.lit("more"))).alias("inferred_intents_json"), F.col("event_type").alias("urgency"), F.when(F.col("user_id") % 2 == 0, "satisfied").otherwise("unknown").alias("satisfaction"))
+    q = graph.GraphQuery(groups=(), satisfaction="satisfied", urgency=("click", "view"), intent="wanted")
+    return graph.event_filter(talk.select("event_id"), q, talk)
 
 
 @register("graph_degree_stats", f"""WITH {GRAPH_SQL}, per AS (SELECT 'event' AS side, event_id AS k, count(*) AS n FROM links GROUP BY 2 UNION ALL SELECT entity_type, entity_id, count(DISTINCT event_id) FROM links GROUP BY 1, 2)
@@ -174,5 +197,52 @@ def graph_degree_stats(spark, d):
 
 @register("graph_generic_noise", f"WITH {GRAPH_SQL} SELECT entity_type, entity_value, count(*) AS n FROM links WHERE entity_value IN ('4-NOT SPECIFIED', 'GERMANY') GROUP BY 1, 2")
 def graph_generic_noise(spark, d):
-    stop = ("4-NOT SPECIFIED", "GERMANY")
-    return links(spark, d).filter(F.col("entity_value").isin(*stop)).groupBy("entity_type", "entity_value").agg(F.count(F.lit(1)).alias("n"))
+    return graph.generic_noise(links(spark, d), ("4-NOT SPECIFIED", "GERMANY"))
+
+
+@register("graph_build_counts", f"WITH {GRAPH_SQL} SELECT 'events' AS name, count(*) AS n FROM events UNION ALL SELECT 'links', count(*) FROM links UNION ALL SELECT 'entities', count(DISTINCT entity_id) FROM links")
+def graph_build_counts(spark, d):
+    return graph.load_counts(graph.store_graph(build_events(spark, d), build_links(spark, d), "graph-counts"))
+
+
+_EXPLAINED_SQL = """why AS (
+  SELECT event_id, 'seed_entity' AS match_stage, string_agg(DISTINCT entity_type || ':' || entity_value, ',' ORDER BY entity_type || ':' || entity_value) AS entities FROM hit JOIN seed USING (event_id) GROUP BY 1
+  UNION ALL SELECT event_id, 'one_hop_expansion', string_agg(DISTINCT entity_type || ':' || entity_value, ',' ORDER BY entity_type || ':' || entity_value) FROM links JOIN expansion USING (event_id) WHERE entity_id IN (SELECT entity_id FROM frontier) GROUP BY 1
+)"""
+
+
+@register("graph_query_explained", f"WITH {GRAPH_SQL}, {_EXPLAINED_SQL} SELECT event_id, match_stage, score, entities FROM ranked LEFT JOIN why USING (event_id, match_stage)")
+def graph_query_explained(spark, d):
+    """Ranked events with the entities that made their scores."""
+    rows = links(spark, d)
+    found = graph.explained(rows, graph.query_graph(rows, events(spark, d), FLAGSHIP), FLAGSHIP)
+    return found.select("event_id", "match_stage", "score", F.array_join("matched_entities", ",").alias("entities"))
+
+
+def _order_rows(spark, d):
+    """Orders by doc_id with the nation of their customers."""
+    orders = table(spark, d, "orders").withColumn("doc_id", F.col("o_orderkey").cast("string"))
+    return orders.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+@register("graph_report", f"""WITH {GRAPH_SQL}, m AS (SELECT o.*, n_name FROM orders o JOIN ranked ON CAST(o_orderkey AS VARCHAR) = event_id JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+near AS (SELECT * FROM links WHERE doc_id IN (SELECT event_id FROM ranked))
+SELECT 'stage' AS section, 'match_stage' AS key, match_stage AS value, count(*) AS n FROM ranked GROUP BY 3
+UNION ALL SELECT 'facet', 'status', o_orderstatus, count(*) FROM m GROUP BY 3
+UNION ALL SELECT 'facet', 'nation', n_name, count(*) FROM m GROUP BY 3
+UNION ALL SELECT 'entity', entity_type, entity_value, count(*) FROM near WHERE entity_type IN ('problem_object', 'area') GROUP BY 2, 3
+UNION ALL SELECT 'coverage', 'documents', k, (SELECT count(DISTINCT doc_id) FROM near WHERE entity_type = k) FROM (VALUES {", ".join(f"('{k}')" for k in _KINDS)}) t(k)
+UNION ALL SELECT 'channel', source_channel, entity_type, count(DISTINCT doc_id) FROM near GROUP BY 2, 3""")
+def graph_report(spark, d):
+    rows = links(spark, d)
+    ranked = graph.query_graph(rows, events(spark, d), FLAGSHIP)
+    facets = {"status": F.col("o_orderstatus"), "nation": F.col("n_name")}
+    return graph.report(rows, ranked, _order_rows(spark, d), facets, ("problem_object", "area"), _KINDS)
+
+
+@register("graph_representatives", f"""WITH {GRAPH_SQL}, best AS (SELECT event_id AS doc_id, score, row_number() OVER (ORDER BY score DESC, match_stage, event_id) AS rank FROM ranked)
+SELECT rank, doc_id, score, o_orderstatus AS status, n_name AS nation FROM best JOIN orders ON doc_id = CAST(o_orderkey AS VARCHAR) JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE rank <= 10""")
+def graph_representatives(spark, d):
+    ranked = graph.query_graph(links(spark, d), events(spark, d), FLAGSHIP)
+    best = graph.representatives(ranked, _order_rows(spark, d).select("doc_id", F.col("o_orderstatus").alias("status"), F.col("n_name").alias("nation")), 10)
+    return best.select(F.col("rank").cast("long").alias("rank"), "doc_id", "score", "status", "nation")

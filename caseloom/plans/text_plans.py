@@ -10,7 +10,7 @@ from caseloom.operators import evaluation as ev
 from caseloom.operators import profile as pf
 from caseloom.operators import retrieval as rt
 from caseloom.plans.base import register
-from caseloom.session import table, values
+from caseloom.session import settle, table, values
 
 
 
@@ -346,7 +346,7 @@ _QRELS_SQL = "SELECT 0 AS query_id, doc_id, 1 + toxic AS grade FROM labels WHERE
 @register("ir_metrics", f"""WITH {bm25_sql(_ONE)}, ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored), qrels AS ({_QRELS_SQL}),
 got AS (SELECT count(*) AS hits, sum((2.0e0 ** grade - 1) / log2(rank + 1.0e0)) AS dcg, min(rank) AS first FROM ranked JOIN qrels USING (query_id, doc_id) WHERE rank <= 50),
 best AS (SELECT count(*) AS relevant, sum(CASE WHEN r <= 50 THEN (2.0e0 ** grade - 1) / log2(r + 1.0e0) ELSE 0 END) AS idcg FROM (SELECT *, row_number() OVER (ORDER BY grade DESC, doc_id) AS r FROM qrels))
-SELECT 0 AS query_id, round(hits / 50.0e0, 6) AS p_at_k, round(hits::DOUBLE / relevant, 6) AS r_at_k, round(coalesce(dcg, 0) / idcg, 6) AS ndcg, round(coalesce(1.0e0 / first, 0), 6) AS mrr FROM got, best""")
+SELECT 0 AS query_id, round(hits / 50.0e0, 4) AS p_at_k, round(hits::DOUBLE / relevant, 4) AS r_at_k, round(coalesce(dcg, 0) / idcg, 4) AS ndcg, round(coalesce(1.0e0 / first, 0), 4) AS mrr FROM got, best""")
 def ir_metrics(spark, d):
     ranked = rt.top_k(_one(spark, d), 50, "query_id")
     qrels = table(spark, d, "labels").filter("quality = 1").select(F.lit(0).alias("query_id"), "doc_id", (1 + F.col("toxic")).alias("grade"))
@@ -381,7 +381,7 @@ def _members(spark, d, key):
 
 def _rollup(spark, d, by_line):
     key = F.concat_ws(":", "l_orderkey", "l_linenumber") if by_line else F.col("l_orderkey").cast("string")
-    return ev.oracle_rollup(_members(spark, d, key), values(spark, _SPECS, "query_id", "group", "entity_type", "value", "n_groups"))
+    return ev.oracle_rollup(_members(spark, d, key), values(spark, _SPECS, "query_id", "group", "entity_type", "value", "n_groups").drop("n_groups"))
 
 
 @register("oracle_rollup_batch", rollup_sql(_LINE_KEY))
@@ -398,6 +398,82 @@ def flat_vs_issue_paired(spark, d):
     return both.groupBy("query_id").agg(F.count("f").alias("flat_docs"), F.count("i").alias("issue_docs"), F.count(F.when(F.col("i").isNull(), 1)).alias("flat_only"), F.count(F.when(F.col("f").isNull(), 1)).alias("issue_only"))
 
 
+def _oracle_cte(p: str, key: str) -> str:
+    """CTEs {p}m (members) to {p}r (ranked documents) of the queries over one graph."""
+    return f"""{p}m AS (SELECT DISTINCT * FROM ({_MEMBERS_SQL.format(key=key)})),
+{p}h AS (SELECT query_id, event_id, doc_id, count(DISTINCT grp) AS got, list(DISTINCT entity_type || ':' || value) AS names FROM {p}m JOIN specs USING (entity_type, value) GROUP BY 1, 2, 3),
+{p}s AS (SELECT * FROM {p}h WHERE got >= CASE WHEN query_id = 2 THEN 1 ELSE 2 END),
+{p}f AS (SELECT DISTINCT query_id, entity_type, value FROM {p}s JOIN {p}m USING (event_id) WHERE entity_type = 'brand' AND query_id <> 1),
+{p}x AS (SELECT f.query_id, m.event_id, m.doc_id, list(DISTINCT entity_type || ':' || value) AS names FROM {p}f f JOIN {p}m m USING (entity_type, value)
+  WHERE NOT EXISTS (SELECT 1 FROM {p}s s WHERE s.query_id = f.query_id AND s.event_id = m.event_id) GROUP BY 1, 2, 3),
+{p}e AS (SELECT query_id, doc_id, 'seed_entity' AS stage, len(names) * 10.0e0 AS score, names FROM {p}s UNION ALL SELECT query_id, doc_id, 'one_hop_expansion', len(names) * 3.0e0 - 5.0e0, names FROM {p}x),
+{p}d AS (SELECT query_id, doc_id, max(stage) AS match_stage, max(score) AS score, count(*) FILTER (WHERE stage = 'seed_entity') AS seed_events, count(*) FILTER (WHERE stage <> 'seed_entity') AS expanded_events,
+  array_to_string(list_sort(list_distinct(flatten(list(names)))), ',') AS entities FROM {p}e GROUP BY 1, 2),
+{p}c AS (SELECT *, row_number() OVER (PARTITION BY query_id, match_stage ORDER BY score DESC, doc_id) AS nth FROM {p}d),
+{p}r AS (SELECT * EXCLUDE (nth), row_number() OVER (PARTITION BY query_id ORDER BY score DESC, match_stage DESC, doc_id) AS rank FROM {p}c WHERE match_stage = 'seed_entity' OR nth <= 40)"""
+
+
+_SPECS_CTE = "specs(query_id, grp, entity_type, value) AS (VALUES " + ", ".join(f"({q}, {g}, '{k}', '{v}')" for q, g, k, v, _ in _SPECS) + ")"
+_GRADES_CTE = "grades AS (SELECT o_orderkey % 3 AS query_id, o_orderkey AS doc_id, 1 + o_orderkey % 2 AS grade FROM orders WHERE o_orderkey % 7 < 2)"
+
+
+def _oracle(spark, d, by_line):
+    """Three queries: AND with a hop, AND without, OR with a hop."""
+    key = F.concat_ws(":", "l_orderkey", "l_linenumber") if by_line else F.col("l_orderkey").cast("string")
+    specs = values(spark, _SPECS, "query_id", "group", "entity_type", "value", "n_groups").drop("n_groups")
+    queries = values(spark, [(0, 2, "AND", ["brand"], 40), (1, 2, "AND", [], 40), (2, 2, "OR", ["brand"], 40)], "query_id", "n_groups", "operator", "frontier", "max_expanded")
+    return settle(ev.oracle_query(_members(spark, d, key), specs, queries), "oracle")
+
+
+def _grades(spark, d):
+    key = F.col("o_orderkey")
+    return table(spark, d, "orders").filter(key % 7 < 2).select((key % 3).cast("int").alias("query_id"), key.alias("doc_id"), (1 + key % 2).alias("grade"))
+
+
+@register("oracle_query_batch", f"WITH {_SPECS_CTE}, {_oracle_cte('issue_', _LINE_KEY)} SELECT query_id, doc_id, match_stage, score, seed_events, expanded_events, entities, rank FROM issue_r")
+def oracle_query_batch(spark, d):
+    return _oracle(spark, d, True).select("query_id", "doc_id", "match_stage", "score", "seed_events", "expanded_events", F.array_join("matched_entities", ",").alias("entities"), F.col("rank").cast("long").alias("rank"))
+
+
+def _metrics_sql(p: str) -> str:
+    at = ", ".join(f"round(coalesce(hits_{k}, 0) / {k}.0e0, 4) AS precision_{k}, round(coalesce(hits_{k}, 0)::DOUBLE / relevant, 4) AS recall_{k}, round(CASE WHEN idcg_{k} > 0 THEN coalesce(dcg_{k}, 0) / idcg_{k} ELSE 0 END, 4) AS ndcg_{k}" for k in (5, 10))
+    sums = ", ".join(f"count(grade) FILTER (WHERE rank <= {k}) AS hits_{k}, sum((2.0e0 ** grade - 1) / log2(rank + 1.0e0)) FILTER (WHERE rank <= {k}) AS dcg_{k}" for k in (5, 10))
+    best = ", ".join(f"sum((2.0e0 ** grade - 1) / log2(r + 1.0e0)) FILTER (WHERE r <= {k}) AS idcg_{k}" for k in (5, 10))
+    return f"""{p}got AS (SELECT query_id, {sums}, min(rank) FILTER (WHERE grade IS NOT NULL) AS first, count(*) AS retrieved, count(*) FILTER (WHERE match_stage = 'seed_entity') AS seeds, count(*) FILTER (WHERE match_stage <> 'seed_entity') AS hops,
+  count(grade) FILTER (WHERE match_stage = 'seed_entity') AS good_seeds, count(grade) FILTER (WHERE match_stage <> 'seed_entity') AS good_hops FROM {p}r LEFT JOIN grades USING (query_id, doc_id) GROUP BY 1),
+{p}best AS (SELECT query_id, count(*) AS relevant, {best} FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY grade DESC, doc_id) AS r FROM grades) GROUP BY 1),
+{p}met AS (SELECT query_id, {at}, round(coalesce(1.0e0 / first, 0), 4) AS mrr, relevant, coalesce(retrieved, 0) AS retrieved, coalesce(seeds, 0) AS seeds, coalesce(hops, 0) AS hops,
+  round(coalesce(good_seeds, 0)::DOUBLE / relevant, 4) AS seed_recall, CASE WHEN coalesce(seeds, 0) > 0 THEN round((seeds - good_seeds)::DOUBLE / seeds, 4) ELSE 0.0e0 END AS false_seed_rate,
+  CASE WHEN coalesce(hops, 0) > 0 THEN round(good_hops::DOUBLE / hops, 4) END AS one_hop_precision, CASE WHEN coalesce(hops, 0) > 0 THEN round((hops - good_hops)::DOUBLE / hops, 4) END AS erroneous_expansion_rate FROM {p}best LEFT JOIN {p}got USING (query_id))"""
+
+
+@register("oracle_metrics", f"WITH {_SPECS_CTE}, {_GRADES_CTE}, {_oracle_cte('issue_', _LINE_KEY)}, {_metrics_sql('issue_')} SELECT * FROM issue_met")
+def oracle_metrics(spark, d):
+    return ev.oracle_metrics(_oracle(spark, d, True), _grades(spark, d))
+
+
+_METRICS = [f"{m}_{k}" for k in (5, 10) for m in ("precision", "recall", "ndcg")] + ["mrr", "seed_recall", "false_seed_rate", "one_hop_precision", "erroneous_expansion_rate"]
+_MODES_SQL = f"WITH {_SPECS_CTE}, {_GRADES_CTE}, {_oracle_cte('flat_', _FLAT_KEY)}, {_oracle_cte('issue_', _LINE_KEY)}"
+
+
+@register("oracle_macro_deltas", f"{_MODES_SQL}, {_metrics_sql('flat_')}, {_metrics_sql('issue_')}, both_sides AS (" + " UNION ALL ".join(f"SELECT '{m}' AS metric, (SELECT round(avg({m}), 4) FROM flat_met) AS flat, (SELECT round(avg({m}), 4) FROM issue_met) AS issue_aware" for m in _METRICS) + ") SELECT *, round(issue_aware - flat, 4) AS delta FROM both_sides")
+def oracle_macro_deltas(spark, d):
+    grades = _grades(spark, d)
+    return ev.macro_deltas(*(ev.oracle_metrics(_oracle(spark, d, by_line), grades) for by_line in (False, True)))
+
+
+@register("oracle_paired_effects", f"""{_MODES_SQL}, j AS (SELECT f.match_stage AS a, i.match_stage AS b, g.doc_id IS NOT NULL AS good FROM flat_r f FULL JOIN issue_r i USING (query_id, doc_id) LEFT JOIN grades g USING (query_id, doc_id)),
+k AS (SELECT *, a = 'seed_entity' AND coalesce(b <> 'seed_entity', true) AS so, a = 'one_hop_expansion' AND b IS NULL AS fo, b = 'one_hop_expansion' AND a IS NULL AS io FROM j)
+SELECT count(*) FILTER (WHERE so) AS flat_only_seed_docs, count(*) FILTER (WHERE a = 'one_hop_expansion' AND b = 'seed_entity') AS flat_expansion_promoted_to_issue_seed,
+count(*) FILTER (WHERE so AND NOT good) AS removed_irrelevant_flat_seed_docs, count(*) FILTER (WHERE so AND good) AS lost_relevant_flat_seed_docs,
+count(*) FILTER (WHERE fo AND NOT good) AS removed_irrelevant_flat_expansion_docs, count(*) FILTER (WHERE fo AND good) AS lost_relevant_flat_expansion_docs,
+count(*) FILTER (WHERE io AND NOT good) AS new_irrelevant_issue_expansion_docs, count(*) FILTER (WHERE io AND good) AS new_relevant_issue_expansion_docs,
+count(*) FILTER (WHERE b IS NULL AND NOT good) AS removed_irrelevant_flat_result_docs, count(*) FILTER (WHERE b IS NULL AND good) AS lost_relevant_flat_result_docs,
+count(*) FILTER (WHERE a IS NULL AND NOT good) AS new_irrelevant_issue_result_docs, count(*) FILTER (WHERE a IS NULL AND good) AS new_relevant_issue_result_docs FROM k""")
+def oracle_paired_effects(spark, d):
+    return ev.paired_effects(_oracle(spark, d, False), _oracle(spark, d, True), _grades(spark, d))
+
+
 @register("ledger_transitions", """WITH s AS (SELECT l_orderkey, coalesce(list(DISTINCT l_suppkey) FILTER (WHERE l_linenumber <= 3), []) AS raw, coalesce(list(DISTINCT l_suppkey) FILTER (WHERE l_linenumber >= 2), []) AS fin, coalesce(list(DISTINCT l_suppkey) FILTER (WHERE l_returnflag = 'N'), []) AS gold FROM lineitem GROUP BY 1),
 p AS (SELECT gold, list_intersect(raw, fin) AS kept, list_filter(raw, lambda x: NOT list_contains(fin, x)) AS removed, list_filter(fin, lambda x: NOT list_contains(raw, x)) AS added FROM s)
 SELECT """ + ", ".join(f"sum(len(list_intersect({p}, gold)))::BIGINT AS {p}_correct, sum(len(list_filter({p}, lambda x: NOT list_contains(gold, x))))::BIGINT AS {p}_incorrect" for p in ("kept", "removed", "added")) + " FROM p")
