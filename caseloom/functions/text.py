@@ -104,28 +104,34 @@ def tokens(c: Column) -> Column:
 # --- redaction ---
 @dataclass(frozen=True)
 class Pattern:
-    """One step of the cascade: what to count, what to find, what to put."""
+    """One step of the cascade: what to count, what to find, what to put, and what a text must hold for it.
+
+    ``needs`` are literals of which a match holds one; ``digits`` says that a
+    match holds ten digits in a row. Both are cheap to rule out.
+    """
 
     counter: str
     find: str
     put: str
+    needs: tuple[str, ...] = ()
+    digits: bool = False
 
 
 _HAN = r"\x{4E00}-\x{9FFF}"
 # --- fixed values: patterns and placeholders, in the order in which they apply ---
 REDACTIONS = (
-    Pattern("email", r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "[邮箱]"),
-    Pattern("contact_name", rf"((?:联系人|联络人)(?:姓名)?\s*[:：]\s*)(?!\[姓名\])[{_HAN}·]{{2,4}}(?=[，,。；;、\s]|\[手机号\]|\d|联系电话|联系|电话|手机|$)", "$1[姓名]"),
-    Pattern("contact_name", rf"((?:联系人|联络人)(?:姓名)?\s*)(?![:：\s]|\[姓名\])[{_HAN}·]{{2,4}}(?=\s*[，,]?\s*(?:0?1[3-9]\d{{9,10}}|\[手机号\]))", "$1[姓名]"),
-    Pattern("landline", r"((?:电话|联系电话|联系方式|座机)\s*[:：]?\s*)0\d{2,3}[-－—\s]?\d{7,8}(?!\d)", "$1[座机]"),
-    Pattern("qq", r"(?i)((?:QQ|扣扣)\s*[:：]?\s*)[1-9]\d{4,11}(?!\d)", "$1[QQ号]"),
+    Pattern("email", r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "[邮箱]", ("@",)),
+    Pattern("contact_name", rf"((?:联系人|联络人)(?:姓名)?\s*[:：]\s*)(?!\[姓名\])[{_HAN}·]{{2,4}}(?=[，,。；;、\s]|\[手机号\]|\d|联系电话|联系|电话|手机|$)", "$1[姓名]", ("联系人", "联络人")),
+    Pattern("contact_name", rf"((?:联系人|联络人)(?:姓名)?\s*)(?![:：\s]|\[姓名\])[{_HAN}·]{{2,4}}(?=\s*[，,]?\s*(?:0?1[3-9]\d{{9,10}}|\[手机号\]))", "$1[姓名]", ("联系人", "联络人")),
+    Pattern("landline", r"((?:电话|联系电话|联系方式|座机)\s*[:：]?\s*)0\d{2,3}[-－—\s]?\d{7,8}(?!\d)", "$1[座机]", ("电话", "联系方式", "座机")),
+    Pattern("qq", r"(?i)((?:QQ|扣扣)\s*[:：]?\s*)[1-9]\d{4,11}(?!\d)", "$1[QQ号]", ("QQ", "qq", "Qq", "qQ", "扣扣")),
     Pattern("wechat", r"(?i)((?:微信|微信号|wechat)\s*[:：]?\s*)[A-Za-z][A-Za-z0-9_-]{5,19}", "$1[微信号]"),
-    Pattern("phone", r"(?<!\d)0?1[3-9]\d{9,10}(?!\d)", "[手机号]"),
-    Pattern("alnum_id", r"(?<![A-Za-z0-9])[A-Za-z]{1,6}\d{10,}[A-Za-z0-9]*(?![A-Za-z0-9])", "[业务编号]"),
-    Pattern("id_card", r"(?<!\d)\d{17}[\dXx](?!\d)", "[身份证号]"),
-    Pattern("long_number", r"(?<!\d)\d{18,}(?!\d)", "[长数字编号]"),
-    Pattern("numeric_id", r"(?<!\d)\d{13,17}(?!\d)", "[数字编号]"),
-    Pattern("name", rf"(姓名[:：]\s*)[{_HAN}·]{{2,8}}", "$1[姓名]"),
+    Pattern("phone", r"(?<!\d)0?1[3-9]\d{9,10}(?!\d)", "[手机号]", digits=True),
+    Pattern("alnum_id", r"(?<![A-Za-z0-9])[A-Za-z]{1,6}\d{10,}[A-Za-z0-9]*(?![A-Za-z0-9])", "[业务编号]", digits=True),
+    Pattern("id_card", r"(?<!\d)\d{17}[\dXx](?!\d)", "[身份证号]", digits=True),
+    Pattern("long_number", r"(?<!\d)\d{18,}(?!\d)", "[长数字编号]", digits=True),
+    Pattern("numeric_id", r"(?<!\d)\d{13,17}(?!\d)", "[数字编号]", digits=True),
+    Pattern("name", rf"(姓名[:：]\s*)[{_HAN}·]{{2,8}}", "$1[姓名]", ("姓名",)),
 )
 COUNTERS = tuple(dict.fromkeys(p.counter for p in REDACTIONS))
 
@@ -139,16 +145,20 @@ def redact(df, column: str, out: str | None = None, counts: str | None = None):
     """``df`` with ``column`` redacted into ``out`` and, if named, a struct of counters.
 
     The steps are chained columns, so each pattern sees what the last one left.
+    A step runs only on texts that hold what it needs.
     """
     out = out or column
     work = df.withColumn(out, F.coalesce(F.col(column), F.lit("")))
     names: dict[str, list[str]] = {c: [] for c in COUNTERS}
     for k, step in enumerate(REDACTIONS):
+        may = F.col(out).rlike(_unicode(r"\d{10}")) if step.digits else F.lit(not step.needs)
+        for word in step.needs:
+            may = may | F.contains(F.col(out), F.lit(word))
         if counts:
             name = f"__{out}_{k}"
             names[step.counter].append(name)
-            work = work.withColumn(name, F.regexp_count(out, F.lit(_unicode(step.find))))
-        work = work.withColumn(out, F.regexp_replace(out, _unicode(step.find), step.put))
+            work = work.withColumn(name, F.when(may, F.regexp_count(out, F.lit(_unicode(step.find)))).otherwise(0))
+        work = work.withColumn(out, F.when(may, F.regexp_replace(out, _unicode(step.find), step.put)).otherwise(F.col(out)))
     if counts:
         parts = [sum((F.col(n) for n in some[1:]), F.col(some[0])).cast("long").alias(c) for c, some in names.items()]
         work = work.withColumn(counts, F.struct(*parts)).drop(*(n for some in names.values() for n in some))

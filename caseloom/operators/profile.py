@@ -72,7 +72,7 @@ def stratified(df: DataFrame, strata: list[str], size: int, rank: Column, ident:
     left = shares.agg((F.lit(size) - F.sum("quota")).alias("left"))
     order = Window.orderBy(F.desc(F.round(F.col("exact") - F.col("quota"), 9)), F.desc("n"), *(F.desc(s) for s in strata))
     quotas = shares.withColumn("r", F.row_number().over(order)).crossJoin(F.broadcast(left)).select(*strata, (F.col("quota") + F.when(F.col("r") <= F.col("left"), 1).otherwise(0)).alias("quota"))
-    ranked = df.withColumn("__rank", rank).withColumn("nth", F.row_number().over(Window.partitionBy(*strata).orderBy("__rank", ident)))
+    ranked = df.withColumn("__rank", rank).withColumn("nth", F.row_number().over(Window.partitionBy(*strata).orderBy("__rank", ident))).filter(F.col("nth") <= size)  # a quota never exceeds the size
     return ranked.join(quotas, strata).filter(F.col("nth") <= F.col("quota")).drop("__rank")
 
 

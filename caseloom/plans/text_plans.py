@@ -187,7 +187,10 @@ def integrity_report(spark, d):
 
 @register("legacy_field_extract", r"""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(url, '^([a-z]+)://', 1) AS scheme FROM pages""")
 def legacy_field_extract(spark, d):
-    return table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("url", "^([a-z]+)://", 1).alias("scheme"))
+    """Fields of pages written as labelled lines and read back."""
+    pages = table(spark, d, "pages").select("page_id", tx.labelled_lines([("标题：", F.regexp_extract("html", "<title>([^<]*)</title>", 1)), ("来源渠道：", F.regexp_extract("url", "^([a-z]+)://", 1))]).alias("text"))
+    field = lambda label: tx.labelled_field(F.col("text"), label, ["标题：", "来源渠道："])
+    return pages.select("page_id", field("标题：").alias("title"), field("来源渠道：").alias("scheme"))
 
 
 # ------------------------------------------------------------------- profiles

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,39 +33,98 @@ DOCUMENT_SCHEMA = T.StructType([
 ])
 
 
-def read_tsv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, columns: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """Tab-separated records with a header, all texts, plus ``_bad``: wrong number of cells.
 
-    The header is read once to fix the schema; rows with too few or too many
-    cells are kept and flagged, so that they can be counted. The flag needs
-    every column parsed, so the rows are staged once as Parquet in the shared
-    folder; what follows reads columns from there.
+    A quoted cell may hold tabs, doubled quotes and newlines, so a file is
+    read by one task; large inputs should be many files. Rows with too few or
+    too many cells are kept and flagged, so that they can be counted.
+    ``limit`` keeps the first records in input order, bad ones included; 0 and
+    None mean all. The flag needs every column parsed, so the rows are staged
+    once as Parquet in the shared folder; what follows reads columns from there.
     """
-    header = columns or spark.read.option("lineSep", "\n").text(path).limit(1).first()[0].rstrip("\r").split("\t")
+    how = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True}
+    header = columns or spark.read.csv(path, **how).columns
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in header), T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.schema(schema).csv(path, sep="\t", header=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True, multiLine=False)
-    return settle(rows.withColumn("_bad", F.col("_corrupt").isNotNull()), "tsv").drop("_corrupt")
+    rows = spark.read.schema(schema).csv(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True, **how)
+    staged = settle(rows.withColumn("_bad", F.col("_corrupt").isNotNull()).withColumn("_at", F.monotonically_increasing_id()), "tsv").drop("_corrupt")
+    return (_first(staged, limit) if limit else staged).drop("_at")
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT_SCHEMA) -> DataFrame:
-    """JSON lines with ``_error``: null, ``invalid_json`` or ``record_not_object``; blank lines are skipped.
+def _first(rows: DataFrame, limit: int) -> DataFrame:
+    if limit < 0:
+        raise ValueError("limit must not be negative")
+    return rows.orderBy("_at").limit(limit)
 
-    Missing ids become ``line_<n>``, n counting every line of its file;
-    ``text`` and ``display_text`` stand in for each other.
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, file, line, _at): lines of text files, numbered from 1 in each file over all its splits.
+
+    A split's first line is known from the lines of the file's earlier splits,
+    a table of one row a split, so that nothing is sorted.
     """
-    lines = spark.read.option("lineSep", "\n").text(path).withColumn("_n", F.monotonically_increasing_id())
-    rows = lines.filter(tx.strip(F.col("value")) != "").select("value", "_n", F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"))
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("_at"))
+    lines = settle(lines, "lines")
+    splits = lines.groupBy("file", "start").agg(F.min("_at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = splits.select("file", "start", "first", (F.sum("n").over(Window.partitionBy("file").orderBy("start")) - F.col("n")).alias("before"))
+    return lines.join(F.broadcast(before), ["file", "start"]).select("value", "file", (F.col("before") + F.col("_at") - F.col("first") + 1).alias("line"), "_at")
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT_SCHEMA, limit: int | None = None, strict: bool = False) -> DataFrame:
+    """JSON lines with ``_line`` and ``_error``: null, ``invalid_json`` or ``record_not_object``; blank lines are skipped.
+
+    Missing ids become ``line_<n>``, n counting every line of its file, blank
+    ones too; ``text`` and ``display_text`` stand in for each other. ``limit``
+    keeps the first records (None: all). ``strict`` fails on the first bad line
+    with ``line_<n>:<code>``, and a limit of 0 is then an empty table.
+    """
+    lines = numbered_lines(spark, path).filter(tx.strip(F.col("value")) != "")
+    if limit or (strict and limit == 0):
+        lines = _first(lines, limit)
     parsed = F.try_parse_json("value")
     error = F.when(parsed.isNull(), "invalid_json").when(~F.schema_of_variant(parsed).startswith("OBJECT"), "record_not_object")
     names = schema.fieldNames()
-    out = rows.select(*(F.col(f"r.{c}").alias(c) for c in names), error.alias("_error"), "_n")
+    rows = lines.select("_at", F.col("line").alias("_line"), F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"), error.alias("_error"))
+    out = rows.select(*(F.col(f"r.{c}").alias(c) for c in names), "_error", "_line", "_at")
     if "doc_id" in names:
-        out = out.withColumn("doc_id", F.coalesce(F.when(F.col("doc_id") != "", F.col("doc_id")), F.concat(F.lit("line_"), F.col("_n") + 1)))
+        out = out.withColumn("doc_id", F.coalesce(F.when(F.col("doc_id") != "", F.col("doc_id")), F.concat(F.lit("line_"), F.col("_line"))))
     if {"text", "display_text"} <= set(names):
         present = lambda c: F.when(F.col(c) != "", F.col(c))
         both = F.coalesce(present("display_text"), present("text"), F.lit(""))
         out = out.withColumn("text", F.coalesce(present("text"), both)).withColumn("display_text", both)
-    return out.drop("_n")
+    if strict:
+        fail_on_first(out, F.col("_error"))
+    return out.drop("_at")
+
+
+def fail_on_first(rows: DataFrame, code: Column) -> None:
+    """Raise ``line_<n>:<code>`` for the first row in input order whose code is not null."""
+    bad = rows.filter(code.isNotNull()).orderBy("_at").select("_line", code.alias("code")).first()
+    if bad is not None:
+        raise ValueError(f"line_{bad._line}:{bad.code}")
+
+
+def error_counts(rows: DataFrame) -> DataFrame:
+    """(code, n) of the bad lines that ``read_json_lines`` let through."""
+    return rows.filter("_error IS NOT NULL").groupBy(F.col("_error").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def normalise_orders(docs: DataFrame) -> DataFrame:
+    """Documents as work orders: doc_id, four clean fields, chunk_text, metadata, content_hash and ``_code``.
+
+    A document without clean fields gets them from the labelled lines of its
+    text. ``_code`` is ``missing_doc_id``, ``empty_semantic_text`` or null.
+    """
+    have = lambda c: tx.clean(F.col(c)) if c in docs.columns else F.lit("")
+    stops = list(LABELS.values())
+    legacy = lambda c: tx.clean(tx.labelled_field(have("text"), LABELS[c], stops))
+    fields = {name: F.coalesce(F.nullif(have(name), F.lit("")), legacy(c)) for name, c in CLEAN_FIELDS.items()}
+    rows = docs.select(have("doc_id").alias("doc_id"), *(c.alias(n) for n, c in fields.items()), have("content_hash").alias("content_hash"), *(["metadata"] if "metadata" in docs.columns else []))
+    parts = [("标题：", "title_clean"), (LABELS["case_content"], "case_content_clean"), (LABELS["case_goal"], "case_goal_clean"), (LABELS["address_detail"], "address_detail_clean")]
+    rows = rows.withColumn("chunk_text", tx.labelled_lines([(label, F.col(c)) for label, c in parts]))
+    own = F.concat(F.lit("sha256:"), F.sha2("chunk_text", 256))
+    code = F.when(F.col("doc_id") == "", "missing_doc_id").when(F.col("chunk_text") == "", "empty_semantic_text")
+    return rows.withColumn("content_hash", F.coalesce(F.nullif("content_hash", F.lit("")), own)).withColumn("_code", code)
 
 
 def last_by_id(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -123,20 +182,54 @@ def disposition(docs: DataFrame) -> Column:
     return F.when(F.array_join(F.array(*fields), "") == "", "empty").when(polluted, "polluted").otherwise("exported")
 
 
-def export_documents(spark: SparkSession, tsv: str, out: str) -> DataFrame:
+def publish(spark: SparkSession, out: str, write) -> None:
+    """Have ``write(folder)`` fill a side folder, then put it in the place of ``out``.
+
+    The old output is renamed away, the new one renamed in and only then the
+    old one deleted; a failure while writing leaves the old output as it was
+    and no side folder. (Two renames are not one step: a reader may find
+    nothing between them.)
+    """
+    jvm, mark = spark.sparkContext._jvm, uuid.uuid4().hex
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    side, old = f"{out.rstrip('/')}.new-{mark}", f"{out.rstrip('/')}.old-{mark}"
+    try:
+        write(side)
+        had = fs.exists(path(out))
+        if had and not fs.rename(path(out), path(old)):
+            raise OSError(f"cannot move {out}")
+        if not fs.rename(path(side), path(out)):
+            if had:
+                fs.rename(path(old), path(out))
+            raise OSError(f"cannot publish {out}")
+        if had:
+            fs.delete(path(old), True)
+    finally:
+        fs.delete(path(side), True)
+
+
+def export_documents(spark: SparkSession, tsv: str, out: str, limit: int | None = None) -> DataFrame:
     """TSV to JSON-lines documents; returns the quality report as one row.
 
-    Spark's commit protocol makes the output appear as a whole or not at all.
+    Documents and report (``_report``, which readers of the folder skip) are
+    published together; see ``publish`` for what a failure leaves.
     """
-    raw = read_tsv(spark, tsv)
+    raw = read_tsv(spark, tsv, limit=limit)
     good = build_documents(raw.filter("NOT _bad"))
-    marked = good.withColumn("_fate", disposition(good))
-    marked.filter("_fate = 'exported'").drop("_fate", "_redactions").write.mode("overwrite").json(out)
+    marked = settle(good.withColumn("_fate", disposition(good)), "export")
     sums = F.struct(*(F.coalesce(F.sum(f"_redactions.{k}"), F.lit(0)).alias(k) for k in tx.COUNTERS)).alias("redactions")
     count = lambda c: F.count(F.when(c, 1))
     report = marked.agg(count(F.col("_fate") == "exported").alias("exported"), count(F.col("_fate") == "empty").alias("empty"), count(F.col("_fate") == "polluted").alias("polluted"), sums)
     bad = raw.agg(F.count(F.lit(1)).alias("rows"), count(F.col("_bad")).alias("bad_field_count"))
-    return bad.crossJoin(report)
+    whole = settle(bad.crossJoin(report), "export-report")  # two one-row tables
+
+    def write(folder: str) -> None:
+        marked.filter("_fate = 'exported'").drop("_fate", "_redactions").write.json(folder)
+        whole.write.json(f"{folder}/_report")
+
+    publish(spark, out, write)
+    return whole
 
 
 def check_documents(docs: DataFrame) -> DataFrame:
@@ -161,9 +254,20 @@ def safety_report(docs: DataFrame) -> DataFrame:
     return sums.withColumn("safe", sum((F.col(n) for n in names[1:]), F.col(names[0])) == 0)
 
 
-def file_sha256(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, sha256) of whole files, hashed where they are read."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+def file_sha256(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, length, sha256) of whole files, each streamed through a digest, so of any size."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(conf)
+        stream = fs.open(path)
+        try:
+            digest = jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+        finally:
+            stream.close()
+        rows.append((name, fs.getFileStatus(path).getLen(), digest))
+    return spark.createDataFrame(rows, "path string, length long, sha256 string")
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
