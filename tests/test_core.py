@@ -185,8 +185,8 @@ def test_json_refused(text):
 
 
 def test_two_phase_extraction(spark):
-    good = '{"event_summary":"s","entities":{"roads":[{"surface":"人民路","canonical":"人民路","source_field":"case_content_clean","evidence":"人民路"}]},"discourse":{"intents":[{"label":"投诉","evidence":"人民路"}]}}'
-    orders = spark.createDataFrame([(f"d{i}", f"h{i}", "在人民路", "", "", "") for i in range(4)], "doc_id string, content_hash string, case_content_clean string, title_clean string, case_goal_clean string, address_detail_clean string")
+    good = '{"event_summary":"s","entities":{"roads":[{"surface":"人民路","canonical":"人民路","source_field":"case_content_clean","evidence":"人民路"}]},"discourse":{"intents":[{"label":"投诉","evidence":"投诉"}]}}'
+    orders = spark.createDataFrame([(f"d{i}", f"h{i}", "市民投诉，在人民路", "", "", "") for i in range(4)], "doc_id string, content_hash string, case_content_clean string, title_clean string, case_goal_clean string, address_detail_clean string")
 
     def fake(frame, phase):
         bad = F.col("doc_id").isin("d1", "d2") if phase == "primary" else F.col("doc_id") == "d2"
