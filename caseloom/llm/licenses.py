@@ -165,7 +165,7 @@ sized AS (SELECT t, license, len(seq) AS long, len(list_distinct(seq)) AS n FROM
 offsets AS (SELECT t, g, min(o) AS o FROM (SELECT t, unnest(seq) AS g, generate_subscripts(seq, 1) - 1 AS o FROM templates) GROUP BY t, g),
 norm AS (
   SELECT row_number() OVER () AS k, doc_id,
-         list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+         list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
   FROM documents
 ), grams AS (
   SELECT k, i - 1 AS i, w[i] || ' ' || w[i + 1] AS g FROM (SELECT k, w, unnest(range(1, len(w))) AS i FROM norm)

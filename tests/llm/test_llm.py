@@ -237,8 +237,8 @@ def test_packing_limits(spark):
 # ------------------------------------------------------------------- licences
 def test_licenses(spark, odd, empty):
     text = "Some words here.\nLicensed under the apache license version 2.0!\nmore\n\nPermission is hereby granted, free of charge, to any\nperson obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the\nSoftware without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute,\nsublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nend"
-    got = {r.doc_id: [(m.line, m.license) for m in r.matches] for r in licenses.scan_licenses(docs_of(spark, [(1, text), (2, "the license of a poem is free"), (3, "All rights reserved.")])).collect()}
-    assert got == {1: [(1, "Apache-2.0"), (-1, "MIT")], 2: [], 3: [(0, "All-rights-reserved")]}
+    got = {r.doc_id: [(m.word, m.license) for m in r.matches] for r in licenses.scan_licenses(docs_of(spark, [(1, text), (2, "the license of a poem is free"), (3, "All rights reserved.")])).collect()}
+    assert got == {1: [(3, "Apache-2.0"), (12, "MIT")], 2: [], 3: [(0, "All-rights-reserved")]}
     assert licenses.scan_licenses(odd).count() == len(ODD) and licenses.scan_licenses(empty).count() == 0
 
 
