@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -76,12 +77,19 @@ def json_text(c: Column) -> Column:
     return F.concat(F.lit('"'), out, F.lit('"'))
 
 
-def canonical_json(fields: dict[str, Column | dict]) -> Column:
-    """Compact JSON object with sorted keys; values are texts or nested objects."""
+class Verbatim(NamedTuple):
+    """A value that is JSON already."""
+
+    json: Column
+
+
+def canonical_json(fields: dict[str, Column | dict | Verbatim]) -> Column:
+    """Compact JSON object with sorted keys; values are texts, nested objects or JSON as it stands."""
     parts: list[Column] = []
     for i, name in enumerate(sorted(fields)):
         value = fields[name]
-        parts += [F.lit(("," if i else "{") + f'"{name}":'), canonical_json(value) if isinstance(value, dict) else json_text(value)]
+        shown = canonical_json(value) if isinstance(value, dict) else value.json if isinstance(value, Verbatim) else json_text(value)
+        parts += [F.lit(("," if i else "{") + f'"{name}":'), shown]
     return F.concat(*parts, F.lit("}")) if parts else F.lit("{}")
 
 

@@ -171,3 +171,78 @@ def oracle_rollup(members: DataFrame, specs: DataFrame) -> DataFrame:
     """Seeds alone, every group asked for: (query_id, doc_id, score, n_events)."""
     queries = specs.groupBy("query_id").agg(F.count_distinct("group").alias("n_groups")).withColumns({"operator": F.lit("AND"), "frontier": F.lit(None).cast("array<string>"), "max_expanded": F.lit(0)})
     return oracle_query(members, specs, queries).select("query_id", "doc_id", "score", F.col("seed_events").alias("n_events"))
+
+
+def set_counts(sides: dict[str, DataFrame], keys: list[str], by: list[str]) -> DataFrame:
+    """Members of several sets with one boolean column a set; one shuffle, whatever their number."""
+    tagged = None
+    for name, rows in sides.items():
+        part = rows.select(*by, *keys, *((F.lit(True) if n == name else F.lit(False)).alias(n) for n in sides))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    return tagged.groupBy(*by, *keys).agg(*(F.max(n).alias(n) for n in sides))
+
+
+def ledger_audit(raw: DataFrame, final: DataFrame, gold: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Twelve counts for each value of ``by``: hits and errors before and after validation, and what validation kept, removed and added."""
+    r, f, g = F.col("in_raw"), F.col("in_final"), F.col("in_gold")
+    count = lambda cond, name: F.count(F.when(cond, 1)).alias(name)
+    stages = [x for name, s in (("raw", r), ("final", f)) for x in (count(s & g, f"{name}_tp"), count(s & ~g, f"{name}_fp"), count(~s & g, f"{name}_fn"))]
+    moves = [
+        count(r & f & g, "correctly_kept"), count(r & f & ~g, "incorrectly_kept"), count(r & ~f & ~g, "correctly_removed"),
+        count(r & ~f & g, "wrongly_removed"), count(~r & f & g, "correct_additions"), count(~r & f & ~g, "incorrect_additions"),
+    ]
+    return set_counts({"in_raw": raw, "in_final": final, "in_gold": gold}, keys, by).groupBy(*by).agg(*stages, *moves)
+
+
+def status_transitions(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """(before, after, n) of the ``status`` columns; ``missing`` where one side lacks the record."""
+    both = before.select(*keys, F.col("status").alias("before")).join(after.select(*keys, F.col("status").alias("after")), keys, "full_outer")
+    shown = [F.coalesce(c, F.lit("missing")).alias(c) for c in ("before", "after")]
+    return both.select(*shown).groupBy("before", "after").agg(F.count(F.lit(1)).alias("n"))
+
+
+def comembership(gold: DataFrame, predicted: DataFrame, group: str) -> DataFrame:
+    """Scores of pairs (lo_role, lo, hi_role, hi) of one issue: all, object with behaviour, and location with either.
+
+    ``false_rate`` is the share of predicted pairs that gold lacks.
+    """
+    place, thing = ("road", "intersection", "poi"), ("problem_object", "problem_behavior")
+    a, b = F.col("lo_role"), F.col("hi_role")
+    kinds = {"issue_co_membership": F.lit(True), "object_behavior_attachment": a.isin(*thing) & b.isin(*thing) & (a != b), "location_attachment": (a.isin(*place) & b.isin(*thing)) | (b.isin(*place) & a.isin(*thing))}
+
+    def kinded(pairs: DataFrame) -> DataFrame:
+        of = F.array_compact(F.array(*(F.when(c, name) for name, c in kinds.items())))
+        return pairs.withColumn("kind", F.explode(of))
+
+    rows = prf(kinded(gold), kinded(predicted), [group, "lo_role", "lo", "hi_role", "hi"], ["kind"])
+    return rows.withColumn("false_rate", ratio(F.col("fp"), F.col("tp") + F.col("fp")))
+
+
+def discourse_scores(gold: DataFrame, predicted: DataFrame) -> DataFrame:
+    """(measure, tp, fp, fn, precision, recall, f1) over gold's records: labels and grounded labels of intents and emotions, and exact accuracies.
+
+    Both have doc_id, ``intents`` and ``emotions`` (arrays of label, evidence
+    and intensity), ``satisfaction`` (label, target, evidence) and ``urgency``
+    (level, evidence). A missing statement is ``unknown`` or ``normal``. The
+    accuracies count gold's records as tp and fn; precision and recall agree.
+    """
+    text = lambda c: F.coalesce(c, F.lit(""))
+
+    def entries(rows: DataFrame) -> DataFrame:
+        entry = lambda measure, *parts: F.struct(F.lit(measure).alias("measure"), F.array(*parts).alias("said"))
+        named = lambda c: F.filter(F.coalesce(F.col(c), F.lit(None)), lambda x: text(x["label"]) != "")
+        parts = [
+            F.transform(named("intents"), lambda x: entry("intent_labels", x["label"])), F.transform(named("intents"), lambda x: entry("intent_grounded", x["label"], text(x["evidence"]))),
+            F.transform(named("emotions"), lambda x: entry("emotion_labels", x["label"])),
+            F.transform(named("emotions"), lambda x: entry("emotion_grounded", x["label"], F.coalesce(x["intensity"], F.lit(0)).cast("string"), text(x["evidence"]))),
+        ]
+        mood = entry("satisfaction_exact", F.coalesce(F.nullif("satisfaction.label", F.lit("")), F.lit("unknown")), text(F.col("satisfaction.target")), text(F.col("satisfaction.evidence")))
+        haste = entry("urgency_exact", F.coalesce(F.nullif("urgency.level", F.lit("")), F.lit("normal")), text(F.col("urgency.evidence")))
+        none = F.array().cast("array<struct<measure:string,said:array<string>>>")
+        return rows.select("doc_id", F.explode(F.concat(*(F.coalesce(p, none) for p in parts), F.array(mood, haste))).alias("e")).select("doc_id", "e.*")
+
+    judged = predicted.join(gold.select("doc_id"), "doc_id", "left_semi")
+    scores = prf(entries(gold), entries(judged), ["doc_id", "said"], ["measure"])
+    exact = F.col("measure").endswith("_exact")
+    share = ratio(F.col("tp"), F.col("tp") + F.col("fn"))
+    return scores.withColumns({"fp": F.when(exact, 0).otherwise(F.col("fp")), **{c: F.when(exact, share).otherwise(F.col(c)) for c in ("precision", "recall", "f1")}})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseloom.session import numbered, settle
+
 # --- fixed values: length buckets (name, largest length) ---
 LENGTH_BUCKETS = (("000-099", 99), ("100-199", 199), ("200-399", 399), ("400-599", 599), ("600-1399", 1399), ("1400+", None))
 _P = (0.5, 0.75, 0.9, 0.95, 0.99)
@@ -24,6 +26,25 @@ def length_summary(df: DataFrame, n: Column, *by: str) -> DataFrame:
     return grouped.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.when(n > 0, 1.0).otherwise(0.0)), 6).alias("present"), F.min(n).cast("long").alias("lo"), *(F.round(F.get(p, i), 1).alias(f"p{int(q * 100)}") for i, q in enumerate(_P)), F.max(n).cast("long").alias("hi"), F.round(F.avg(n), 1).alias("mean"))
 
 
+def exact_quantiles(df: DataFrame, by: str, value: str, shares: tuple[float, ...]) -> DataFrame:
+    """(by, q1, q2, ...): exact interpolated quantiles of a continuous value, nulls left out.
+
+    Rows are numbered in the order (by, value) by a range partitioning, and
+    only the one or two neighbours of each quantile are picked, so no task
+    holds a group, however many distinct values it has.
+    """
+    rows = df.select(by, value).filter(F.col(value).isNotNull())
+    placed = settle(numbered(rows, "nth", F.col(by), F.col(value)), "quantiles")
+    spans = placed.groupBy(by).agg(F.min("nth").alias("start"), F.count(F.lit(1)).alias("n"))
+    at = F.array(*(F.struct(F.lit(i).alias("i"), ((F.col("n") - 1) * share).alias("at")) for i, share in enumerate(shares)))
+    targets = spans.select(by, "start", F.explode(at).alias("t")).select(by, "start", "t.*")
+    sides = targets.select(by, "i", "at", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("k"), "start")
+    found = sides.withColumn("nth", F.col("start") + F.col("k")).join(placed, [by, "nth"])
+    whole = F.min(value) + (F.max(value) - F.min(value)) * (F.max("at") - F.floor(F.max("at")))
+    each = found.groupBy(by, "i").agg(whole.alias("q"))
+    return each.groupBy(by).agg(*(F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i + 1}") for i in range(len(shares))))
+
+
 def nearest_rank(n: Column, share: float) -> Column:
     """Value at the half-even rounded rank of a sorted group (for small groups)."""
     values = F.sort_array(F.collect_list(n))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import tokens
+from caseloom.session import settle
 
 K1, B = 1.5, 0.75
 
@@ -15,24 +16,36 @@ def postings(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.explode(tokens(text)).alias("token")).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
+#: Query tokens up to which their weights are broadcast; beyond that the join shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
 def bm25(docs: DataFrame, id_col: str, text: Column, queries: DataFrame, keep: Column | None = None, k1: float = K1, b: float = B) -> DataFrame:
     """(query_id, doc_id, score) for ``queries`` (query_id, query).
 
-    Document lengths come from a narrow projection and postings are cut to the
-    queries' tokens before they are counted, so the corpus is never exploded
-    into a shuffle. Statistics cover the whole corpus; ``keep`` only decides
-    which documents are returned. Query tokens count once.
+    The corpus is tokenised once: what is written is a row a document and one
+    for each of its tokens that some query has. Length, document frequencies
+    and scores come from that table. Scoring deals its rows by document, and
+    a document's (query, document) rows are summed where they arise, so pairs
+    are not shuffled; ``top_k`` by query then sends k rows a task and query.
+    Statistics cover the whole corpus; ``keep`` only decides which documents
+    are returned. Query tokens count once.
     """
-    asked = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("token"))
-    sized = docs.select(F.col(id_col).alias("doc_id"), tokens(text).alias("toks"), (keep if keep is not None else F.lit(True)).alias("keep"))
-    stats = sized.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("toks")).alias("avgdl"))
-    vocabulary = asked.select("token").distinct()
-    hits = sized.select("doc_id", "keep", F.size("toks").alias("dl"), F.explode("toks").alias("token")).join(vocabulary, "token", "left_semi")
-    tf = hits.groupBy("token", "doc_id", "keep", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    asked = settle(queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("token")), "bm25-asked")
+    bounded = asked.count() <= BROADCAST_ROWS
+    small = F.broadcast if bounded else lambda df: df
+    vocabulary = asked.select("token", F.col("token").alias("known")).distinct()
+    sized = docs.select(F.col(id_col).alias("doc_id"), (keep if keep is not None else F.lit(True)).alias("keep"), tokens(text).alias("toks"))
+    each = sized.select("doc_id", "keep", F.size("toks").alias("dl"), F.explode(F.concat("toks", F.array(F.lit(None).cast("string")))).alias("token"))
+    hits = each.join(small(vocabulary), "token", "left").groupBy("doc_id", "keep", "dl", F.col("known").alias("token")).agg(F.count(F.lit(1)).alias("tf"))
+    hits = settle(hits, "bm25-postings")
+    stats = hits.filter("token IS NULL").agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+    tf = hits.filter("token IS NOT NULL")
     df = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    rows = tf.filter("keep").join(df, "token").join(asked, "token").crossJoin(F.broadcast(stats))
+    weights = asked.join(df, "token").crossJoin(F.broadcast(stats)).select("query_id", "token", "avgdl", idf.alias("idf"))  # stats are one row
+    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+    rows = tf.filter("keep").repartition("doc_id").join(small(weights), "token")
     return rows.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
 
 

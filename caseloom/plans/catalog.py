@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseloom.plans import annotation_plans, base, graph_plans, semantic_plans, source_plans, stream_plans, text_plans  # noqa: F401
+from caseloom.plans import annotation_plans, audit_plans, base, graph_plans, semantic_plans, source_plans, stream_plans, text_plans  # noqa: F401
 
 
 def queries() -> dict:

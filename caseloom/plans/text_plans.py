@@ -277,7 +277,9 @@ def topn_per_stratum(spark, d):
 
 @register("diagnostics_summary", "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, round(sum(value), 4) AS total, round(quantile_cont(value, 0.5), 4) AS p50, max_by(event_id, (ts, event_id)) AS last_event FROM events GROUP BY event_type")
 def diagnostics_summary(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"), F.round(F.percentile("value", F.lit(0.5)), 4).alias("p50"), F.max_by("event_id", F.struct("ts", "event_id")).alias("last_event"))
+    events = table(spark, d, "events")
+    flat = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"), F.max_by("event_id", F.struct("ts", "event_id")).alias("last_event"))
+    return flat.join(pf.exact_quantiles(events, "event_type", "value", (0.5,)), "event_type", "left").withColumn("p50", F.round("q1", 4)).drop("q1")
 
 
 @register("incremental_resume", "SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)")
