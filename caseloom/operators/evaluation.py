@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseloom.session import numbered, settle
+
 
 def ratio(a: Column, b: Column) -> Column:
     """a / b to four digits, 0 where b is 0."""
@@ -60,8 +62,9 @@ def ir_metrics(ranked: DataFrame, qrels: DataFrame, k: int) -> DataFrame:
     gain = lambda g: F.pow(F.lit(2.0), g) - 1
     got = ranked.filter(F.col("rank") <= k).join(qrels, ["query_id", "doc_id"])
     found = got.groupBy("query_id").agg(F.count(F.lit(1)).alias("hits"), F.sum(gain(F.col("grade")) / F.log2(F.col("rank") + 1.0)).alias("dcg"), F.min("rank").alias("first"))
-    best = qrels.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("grade"), "doc_id")))
-    ideal = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("relevant"), F.sum(F.when(F.col("r") <= k, gain(F.col("grade")) / F.log2(F.col("r") + 1.0)).otherwise(0.0)).alias("idcg"))
+    best = qrels.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("grade"), "doc_id"))).filter(F.col("r") <= k)
+    top = best.groupBy("query_id").agg(F.sum(gain(F.col("grade")) / F.log2(F.col("r") + 1.0)).alias("idcg"))
+    ideal = qrels.groupBy("query_id").agg(F.count(F.lit(1)).alias("relevant")).join(top, "query_id")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     rows = ideal.join(found, "query_id", "left")
     return rows.select("query_id", F.round(zero("hits") / k, 4).alias("p_at_k"), F.round(zero("hits") / F.col("relevant"), 4).alias("r_at_k"), F.round(F.when(F.col("idcg") > 0, zero("dcg") / F.col("idcg")), 4).alias("ndcg"), F.round(F.coalesce(1.0 / F.col("first"), F.lit(0.0)), 4).alias("mrr"))
@@ -78,35 +81,114 @@ def weak_metrics(ranked: DataFrame, gold: DataFrame, k: int) -> DataFrame:
 SEED, HOP = "seed_entity", "one_hop_expansion"
 
 
-def oracle_query(members: DataFrame, specs: DataFrame, queries: DataFrame) -> DataFrame:
+#: Groups that one column of bits can hold.
+BITS = 62
+#: Wanted entities up to which they are broadcast; beyond that the join shuffles.
+WANTED_ROWS = 200_000
+#: Expanded documents a query up to which each task sends only its best.
+BEST_ROWS = 1000
+
+
+def oracle_documents(members: DataFrame, specs: DataFrame, queries: DataFrame) -> DataFrame:
+    """The rows of ``oracle_query`` without their ranks.
+
+    An event belongs to one document, so members are dealt by document once a
+    pass, and events, seeds, hops and documents are all summed where they lie.
+    The first pass finds the entities at the frontier, the second scores; what
+    is wanted of an entity (seed groups as bits, or the hop) is joined to its
+    members, so no event is joined to another. ``specs`` and ``queries`` are
+    configuration-sized. A caller that drops ``matched_entities`` gets a plan
+    without lists.
+    """
+    members = members.select("event_id", "doc_id", "entity_type", "value").repartition("doc_id").distinct()
+    entity, name = ["entity_type", "value"], F.concat_ws(":", "entity_type", "value")
+    asked = queries.select("query_id", F.when(F.upper("operator") == "OR", F.lit(1)).otherwise(F.col("n_groups")).alias("need"), "frontier")
+    limits = {r["query_id"]: (bool(r["frontier"]), r["max_expanded"]) for r in queries.select("query_id", "frontier", "max_expanded").collect()}
+    hopping = [q for q, (types, _) in limits.items() if types]
+
+    most = specs.groupBy("query_id").agg(F.count_distinct("group").alias("n")).agg(F.max("n")).first()[0] or 0
+    words = range(most // BITS + 1)
+    nth = F.dense_rank().over(Window.partitionBy("query_id").orderBy("group")) - 1
+    bit = lambda w: F.when(F.col("group").isNotNull() & (F.floor(F.col("nth") / BITS) == w), F.expr(f"shiftleft(1L, nth % {BITS})")).otherwise(F.lit(0).cast("long"))
+    seeded = specs.filter("group IS NOT NULL").withColumn("nth", nth).unionByName(specs.filter("group IS NULL").withColumn("nth", F.lit(0)))
+    seeded = seeded.groupBy("query_id", *entity).agg(*(F.bit_or(bit(w)).alias(f"g{w}") for w in words)).join(asked.drop("frontier"), "query_id")
+
+    def want(rows: DataFrame, hit: bool, keys: list[str], out: str) -> DataFrame:
+        groups = (F.col(f"g{w}") if hit else F.lit(0).cast("long").alias(f"g{w}") for w in words)
+        return rows.groupBy(*keys).agg(F.collect_list(F.struct("query_id", "need", *groups, F.lit(hit).alias("hit"))).alias(out))
+
+    def events(rows: DataFrame, *lists: Column) -> DataFrame:
+        got = sum((F.bit_count(F.bit_or(f"g{w}")) for w in words[1:]), F.bit_count(F.bit_or("g0")))
+        count = lambda cond, out: F.count(F.when(cond, 1)).alias(out)
+        found = rows.groupBy("query_id", "need", "event_id", "doc_id").agg(got.alias("got"), count(F.col("hit"), "n_seed"), count(~F.col("hit"), "n_near"), *lists)
+        return found.withColumn("seed", (F.col("n_seed") > 0) & (F.col("got") >= F.col("need")))
+
+    spread = lambda rows, list_: rows.select("event_id", "doc_id", *entity, F.explode(list_).alias("w")).select("event_id", "doc_id", *entity, "w.*")
+    wanted = seeded.select("query_id", "need", *entity, *(f"g{w}" for w in words), F.lit(True).alias("hit"))
+    if hopping:
+        types = asked.filter(F.col("query_id").isin(*hopping)).select("query_id", "need", F.explode("frontier").alias("entity_type")).distinct()
+        a = want(seeded.filter(F.col("query_id").isin(*hopping)), True, entity, "a")
+        b = want(types, False, ["entity_type"], "b")
+        near = members.join(F.broadcast(a), entity, "left").join(F.broadcast(b), "entity_type", "left")
+        none = F.array().cast(a.schema["a"].dataType)
+        rows = spread(near, F.concat(F.coalesce("a", none), F.coalesce("b", none)))
+        seeds = events(rows, F.collect_list(F.when(~F.col("hit"), F.struct(*entity))).alias("at")).filter("seed")
+        at = settle(seeds.select("query_id", "need", F.explode("at").alias("e")).select("query_id", "need", "e.*").distinct(), "oracle-frontier")
+        wanted = wanted.unionByName(at.select("query_id", "need", *entity, *(F.lit(0).cast("long").alias(f"g{w}") for w in words), F.lit(False).alias("hit")))
+    wanted = wanted.groupBy(*entity).agg(F.collect_list(F.struct("query_id", "need", *(f"g{w}" for w in words), "hit")).alias("w"))
+    if hopping:
+        wanted = settle(wanted, "oracle-wanted")
+    small = F.broadcast if not hopping or wanted.count() <= WANTED_ROWS else lambda df: df
+    lists = [F.collect_list(F.when(cond, name)).alias(n) for cond, n in ((F.col("hit"), "seed_names"), (~F.col("hit"), "near_names"))]
+    found = events(spread(members.join(small(wanted), entity), F.col("w")), *lists).filter("seed OR n_near > 0")
+    score = F.when(F.col("seed"), F.col("n_seed") * 10.0).otherwise(F.col("n_near") * 3.0 - 5.0)
+    names = F.when(F.col("seed"), F.col("seed_names")).otherwise(F.col("near_names"))
+    docs = found.groupBy("query_id", "doc_id").agg(
+        F.max("seed").alias("seed"), F.max(score).alias("score"), F.count(F.when(F.col("seed"), 1)).alias("seed_events"), F.count(F.when(~F.col("seed"), 1)).alias("expanded_events"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(names)))).alias("matched_entities"),
+    )
+    docs = docs.select("query_id", "doc_id", F.when(F.col("seed"), SEED).otherwise(HOP).alias("match_stage"), "score", "seed_events", "expanded_events", "matched_entities")
+    if not hopping:
+        return docs.filter(F.col("match_stage") == SEED)
+    return docs
+
+
+def best_expanded(docs: DataFrame, queries: DataFrame) -> DataFrame:
+    """Seeds, and of each query's expanded documents the best ``max_expanded`` by score, then id."""
+    seeds, hops = docs.filter(F.col("match_stage") == SEED), docs.filter(F.col("match_stage") == HOP)
+    order = [F.desc("score"), F.asc("doc_id")]
+    most = queries.agg(F.max("max_expanded")).first()[0] or 0
+    if most <= BEST_ROWS:
+        nth = hops.withColumn("nth", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).filter(F.col("nth") <= most)
+    else:
+        nth = numbered(hops, "nth", *order, by=("query_id",))
+    kept = nth.join(F.broadcast(queries.select("query_id", "max_expanded")), "query_id").filter(F.col("nth") <= F.col("max_expanded"))
+    return seeds.unionByName(kept.select(*docs.columns))
+
+
+def oracle_kept(members: DataFrame, specs: DataFrame, queries: DataFrame, *columns: str) -> DataFrame:
+    """The documents that ``oracle_query`` ranks, with these columns (none: all), written once."""
+    docs = oracle_documents(members, specs, queries)
+    need = dict.fromkeys(("query_id", "doc_id", "match_stage", "score", *columns)) if columns else docs.columns
+    return best_expanded(settle(docs.select(*need), "oracle-documents"), queries)
+
+
+def oracle_query(members: DataFrame, specs: DataFrame, queries: DataFrame, *columns: str) -> DataFrame:
     """Ranked documents of many queries at once, from same-event seeds and one hop.
 
     ``members`` has event_id, doc_id, entity_type, value; ``specs`` query_id,
     group, entity_type, value; ``queries`` query_id, n_groups, operator,
     frontier (array of types, null or empty: no hop) and max_expanded. An event
-    is a seed if it hits every group (AND) or any (OR) and scores 10 a matched
-    entity; other events that share frontier entities of a query's seeds score
-    3 each less 5. A document has its best event's score, is a seed if any of
-    its events is, and unites what matched. Expanded documents are cut to the
-    best ``max_expanded`` of a query; then all are ranked by score, seeds first
-    on ties, then id.
+    belongs to one document. It is a seed if it hits every group (AND) or any
+    (OR) and scores 10 a matched entity; other events that share frontier
+    entities of a query's seeds score 3 each less 5. A document has its best
+    event's score, is a seed if any of its events is, and unites what matched.
+    Expanded documents are cut to the best ``max_expanded`` of a query; then
+    all are ranked by score, seeds first on ties, then id. ``columns`` names
+    what is wanted besides the rank (none: all).
     """
-    members = members.select("event_id", "doc_id", "entity_type", "value").distinct()
-    name = F.concat_ws(":", "entity_type", "value")
-    found = lambda rows: rows.groupBy("query_id", "event_id", "doc_id").agg(F.count_distinct("group").alias("got"), F.collect_set(name).alias("names"))
-    hit = found(members.join(specs, ["entity_type", "value"])).join(queries, "query_id")
-    seed = hit.filter(F.when(F.upper("operator") == "OR", F.lit(1)).otherwise(F.col("n_groups")) <= F.col("got"))
-    at = seed.select("query_id", "event_id", "frontier").join(members, "event_id").filter(F.array_contains("frontier", F.col("entity_type"))).select("query_id", "entity_type", "value").distinct()
-    hop = found(members.join(at, ["entity_type", "value"]).withColumn("group", F.lit(0))).join(seed.select("query_id", "event_id"), ["query_id", "event_id"], "left_anti")
-
-    scored = seed.select("query_id", "doc_id", "names", F.lit(SEED).alias("stage"), (F.size("names") * 10.0).alias("score"))
-    scored = scored.unionByName(hop.select("query_id", "doc_id", "names", F.lit(HOP).alias("stage"), (F.size("names") * 3.0 - 5.0).alias("score")))
-    of = lambda stage: F.count(F.when(F.col("stage") == stage, 1))
-    docs = scored.groupBy("query_id", "doc_id").agg(F.max("stage").alias("match_stage"), F.max("score").alias("score"), of(SEED).alias("seed_events"), of(HOP).alias("expanded_events"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("matched_entities"))
-    nth = F.row_number().over(Window.partitionBy("query_id", "match_stage").orderBy(F.desc("score"), "doc_id"))
-    kept = docs.withColumn("nth", nth).join(queries.select("query_id", "max_expanded"), "query_id").filter((F.col("match_stage") == SEED) | (F.col("nth") <= F.col("max_expanded")))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("match_stage"), "doc_id"))
-    return kept.withColumn("rank", rank).drop("nth", "max_expanded")
+    kept = oracle_kept(members, specs, queries, *columns)
+    return numbered(kept, "rank", F.desc("score"), F.desc("match_stage"), F.asc("doc_id"), by=("query_id",))
 
 
 def oracle_metrics(ranked: DataFrame, qrels: DataFrame, cutoffs: tuple[int, ...] = (5, 10)) -> DataFrame:
@@ -121,8 +203,9 @@ def oracle_metrics(ranked: DataFrame, qrels: DataFrame, cutoffs: tuple[int, ...]
     judged = ranked.join(qrels, ["query_id", "doc_id"], "left")
     sums = [x for k in cutoffs for x in (count(relevant & (rank <= k)).alias(f"hits_{k}"), F.sum(F.when(rank <= k, gain / F.log2(rank + 1.0))).alias(f"dcg_{k}"))]
     got = judged.groupBy("query_id").agg(*sums, F.min(F.when(relevant, rank)).alias("first"), F.count(F.lit(1)).alias("retrieved"), count(seed).alias("seeds"), count(hop).alias("hops"), count(seed & relevant).alias("good_seeds"), count(hop & relevant).alias("good_hops"))
-    best = qrels.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("grade"), "doc_id")))
-    ideal = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("relevant"), *(F.sum(F.when(rank <= k, gain / F.log2(rank + 1.0))).alias(f"idcg_{k}") for k in cutoffs))
+    best = qrels.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("grade"), "doc_id"))).filter(rank <= max(cutoffs))  # a task sends its best only
+    top = best.groupBy("query_id").agg(*(F.sum(F.when(rank <= k, gain / F.log2(rank + 1.0))).alias(f"idcg_{k}") for k in cutoffs))
+    ideal = qrels.groupBy("query_id").agg(F.count(F.lit(1)).alias("relevant")).join(top, "query_id")
     rows = ideal.join(got, "query_id", "left")
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
     at = [x for k in cutoffs for x in (F.round(n(f"hits_{k}") / k, 4).alias(f"precision_{k}"), F.round(n(f"hits_{k}") / F.col("relevant"), 4).alias(f"recall_{k}"), F.round(F.when(F.col(f"idcg_{k}") > 0, n(f"dcg_{k}") / F.col(f"idcg_{k}")).otherwise(0.0), 4).alias(f"ndcg_{k}"))]
@@ -170,7 +253,7 @@ def paired_effects(one: DataFrame, other: DataFrame, qrels: DataFrame) -> DataFr
 def oracle_rollup(members: DataFrame, specs: DataFrame) -> DataFrame:
     """Seeds alone, every group asked for: (query_id, doc_id, score, n_events)."""
     queries = specs.groupBy("query_id").agg(F.count_distinct("group").alias("n_groups")).withColumns({"operator": F.lit("AND"), "frontier": F.lit(None).cast("array<string>"), "max_expanded": F.lit(0)})
-    return oracle_query(members, specs, queries).select("query_id", "doc_id", "score", F.col("seed_events").alias("n_events"))
+    return oracle_documents(members, specs, queries).select("query_id", "doc_id", "score", F.col("seed_events").alias("n_events"))
 
 
 def set_counts(sides: dict[str, DataFrame], keys: list[str], by: list[str]) -> DataFrame:

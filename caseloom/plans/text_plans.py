@@ -422,12 +422,16 @@ _SPECS_CTE = "specs(query_id, grp, entity_type, value) AS (VALUES " + ", ".join(
 _GRADES_CTE = "grades AS (SELECT o_orderkey % 3 AS query_id, o_orderkey AS doc_id, 1 + o_orderkey % 2 AS grade FROM orders WHERE o_orderkey % 7 < 2)"
 
 
-def _oracle(spark, d, by_line):
+def _oracle(spark, d, by_line, ask=ev.oracle_query, *columns):
     """Three queries: AND with a hop, AND without, OR with a hop."""
     key = F.concat_ws(":", "l_orderkey", "l_linenumber") if by_line else F.col("l_orderkey").cast("string")
     specs = values(spark, _SPECS, "query_id", "group", "entity_type", "value", "n_groups").drop("n_groups")
     queries = values(spark, [(0, 2, "AND", ["brand"], 40), (1, 2, "AND", [], 40), (2, 2, "OR", ["brand"], 40)], "query_id", "n_groups", "operator", "frontier", "max_expanded")
-    return settle(ev.oracle_query(_members(spark, d, key), specs, queries), "oracle")
+    return ask(_members(spark, d, key), specs, queries, *columns)
+
+
+def _ranked(spark, d, by_line):
+    return _oracle(spark, d, by_line, ev.oracle_query, "match_stage")
 
 
 def _grades(spark, d):
@@ -454,7 +458,7 @@ def _metrics_sql(p: str) -> str:
 
 @register("oracle_metrics", f"WITH {_SPECS_CTE}, {_GRADES_CTE}, {_oracle_cte('issue_', _LINE_KEY)}, {_metrics_sql('issue_')} SELECT * FROM issue_met")
 def oracle_metrics(spark, d):
-    return ev.oracle_metrics(_oracle(spark, d, True), _grades(spark, d))
+    return ev.oracle_metrics(_ranked(spark, d, True), _grades(spark, d))
 
 
 _METRICS = [f"{m}_{k}" for k in (5, 10) for m in ("precision", "recall", "ndcg")] + ["mrr", "seed_recall", "false_seed_rate", "one_hop_precision", "erroneous_expansion_rate"]
@@ -464,7 +468,7 @@ _MODES_SQL = f"WITH {_SPECS_CTE}, {_GRADES_CTE}, {_oracle_cte('flat_', _FLAT_KEY
 @register("oracle_macro_deltas", f"{_MODES_SQL}, {_metrics_sql('flat_')}, {_metrics_sql('issue_')}, both_sides AS (" + " UNION ALL ".join(f"SELECT '{m}' AS metric, (SELECT round(avg({m}), 4) FROM flat_met) AS flat, (SELECT round(avg({m}), 4) FROM issue_met) AS issue_aware" for m in _METRICS) + ") SELECT *, round(issue_aware - flat, 4) AS delta FROM both_sides")
 def oracle_macro_deltas(spark, d):
     grades = _grades(spark, d)
-    return ev.macro_deltas(*(ev.oracle_metrics(_oracle(spark, d, by_line), grades) for by_line in (False, True)))
+    return ev.macro_deltas(*(ev.oracle_metrics(_ranked(spark, d, by_line), grades) for by_line in (False, True)))
 
 
 @register("oracle_paired_effects", f"""{_MODES_SQL}, j AS (SELECT f.match_stage AS a, i.match_stage AS b, g.doc_id IS NOT NULL AS good FROM flat_r f FULL JOIN issue_r i USING (query_id, doc_id) LEFT JOIN grades g USING (query_id, doc_id)),
@@ -476,7 +480,7 @@ count(*) FILTER (WHERE io AND NOT good) AS new_irrelevant_issue_expansion_docs,
 count(*) FILTER (WHERE b IS NULL AND NOT good) AS removed_irrelevant_flat_result_docs, count(*) FILTER (WHERE b IS NULL AND good) AS lost_relevant_flat_result_docs,
 count(*) FILTER (WHERE a IS NULL AND NOT good) AS new_irrelevant_issue_result_docs, count(*) FILTER (WHERE a IS NULL AND good) AS new_relevant_issue_result_docs FROM k""")
 def oracle_paired_effects(spark, d):
-    return ev.paired_effects(_oracle(spark, d, False), _oracle(spark, d, True), _grades(spark, d))
+    return ev.paired_effects(*(_oracle(spark, d, by_line, ev.oracle_kept, "match_stage") for by_line in (False, True)), _grades(spark, d))
 
 
 @register("ledger_transitions", """WITH s AS (SELECT l_orderkey, coalesce(list(DISTINCT l_suppkey) FILTER (WHERE l_linenumber <= 3), []) AS raw, coalesce(list(DISTINCT l_suppkey) FILTER (WHERE l_linenumber >= 2), []) AS fin, coalesce(list(DISTINCT l_suppkey) FILTER (WHERE l_returnflag = 'N'), []) AS gold FROM lineitem GROUP BY 1),

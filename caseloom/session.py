@@ -53,17 +53,23 @@ def values(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*structs)).alias("v")).select(*(F.col(f"v.{n}").alias(n) for n in names))
 
 
-def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
-    """``df`` with its rows numbered from 1 in a total order, without a sort in one task.
+def numbered(df: DataFrame, name: str, *order: Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with its rows numbered from 1 in a total order (for each value of ``by``), without a sort in one task.
 
-    Rows are range-partitioned and sorted; a row's number is its place in its
-    partition plus the sizes of the partitions before, of which there are as
-    many as partitions, a side that may be broadcast.
+    Rows are range-partitioned and sorted; a row's number is its place among
+    the rows of its value in its partition plus their number in the partitions
+    before. There are at most as many such counts as partitions and values, a
+    side that may be broadcast.
     """
-    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    spread = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
     placed = settle(spread.withColumn("__at", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("__at", 33)
-    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
-    joined = placed.withColumn("__part", part).join(F.broadcast(before), "__part")
-    return joined.select(*df.columns, (F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1).alias(name))
+    keys = [F.col(c).alias(f"__by{i}") for i, c in enumerate(by)]
+    sizes = placed.groupBy(part.alias("__size_part"), *keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    same = [f"__by{i}" for i in range(len(by))]
+    before = F.sum("__n").over(Window.partitionBy(*same).orderBy("__size_part")) - F.col("__n")
+    starts = sizes.select("__size_part", *same, (before - F.col("__first")).alias("__shift"))
+    match = part == F.col("__size_part")
+    for c, b in zip(by, same):
+        match = match & placed[c].eqNullSafe(F.col(b))
+    return placed.join(F.broadcast(starts), match).select(*df.columns, (F.col("__at") + F.col("__shift") + 1).alias(name))
