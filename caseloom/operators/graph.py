@@ -74,6 +74,7 @@ def seed_hits(links: DataFrame, q: GraphQuery) -> DataFrame:
     if not groups:
         return links.limit(0).withColumn("group", F.lit(0))
     spec = values(links.sparkSession, groups, "group", "entity_type", "want")
+    links = links.filter(F.col("entity_type").isin(*{kind for _, kind, _ in groups}) & squeeze(F.col("normalized_value")).isin(*{v for _, _, v in groups}))  # goes down to the scans
     return links.join(F.broadcast(spec), (links["entity_type"] == spec["entity_type"]) & (squeeze(links["normalized_value"]) == spec["want"])).drop(spec["entity_type"]).drop("want")
 
 
@@ -95,9 +96,15 @@ def frontier(links: DataFrame, seed: DataFrame, q: GraphQuery) -> DataFrame:
     return near.join(seed.select("event_id"), "event_id", "left_semi").groupBy("entity_id", "entity_type").agg(F.min("entity_value").alias("entity_value"))
 
 
+def at_frontier(links: DataFrame, seed: DataFrame, q: GraphQuery) -> DataFrame:
+    """Links to the frontier's entities; an id is made of its type, so links of other types are left out before the join."""
+    near = links.filter(F.col("entity_type").isin(*q.frontier)) if q.frontier else links.limit(0)
+    return near.join(frontier(links, seed, q).select("entity_id"), "entity_id", "left_semi")
+
+
 def expansion(links: DataFrame, events: DataFrame, seed: DataFrame, q: GraphQuery, discourse: DataFrame | None = None) -> DataFrame:
     """(event_id, doc_id, shared, confidence_sum): other events at the frontier, the best ``max_expanded``."""
-    at = links.join(frontier(links, seed, q).select("entity_id"), "entity_id", "left_semi")
+    at = at_frontier(links, seed, q)
     found = at.groupBy("event_id").agg(F.count(F.lit(1)).alias("shared"), F.sum("confidence").alias("confidence_sum"))
     found = found.join(seed.select("event_id"), "event_id", "left_anti").join(event_filter(events, q, discourse).select("event_id", "doc_id"), "event_id")
     return found.orderBy(F.desc("shared"), "event_id").limit(q.max_expanded).select("event_id", "doc_id", "shared", "confidence_sum")
@@ -110,7 +117,7 @@ def structural_score(stage: Column, matched: Column, shared: Column, confidence:
 
 def query_graph(links: DataFrame, events: DataFrame, q: GraphQuery, discourse: DataFrame | None = None) -> DataFrame:
     """Ranked seeds and expansions: score falling, stage, doc_id."""
-    seed = seeds(links, events, q, discourse)
+    seed = settle(seeds(links, events, q, discourse), "seeds")  # read three times
     none = F.lit(0).cast("long")
     rows = seed.select("event_id", "doc_id", F.lit("seed_entity").alias("match_stage"), F.col("matched"), none.alias("shared"), "confidence_sum")
     if q.frontier:
@@ -131,7 +138,7 @@ def explained(links: DataFrame, ranked: DataFrame, q: GraphQuery) -> DataFrame:
     name = F.concat_ws(":", "entity_type", "entity_value").alias("name")
     hit = seed_hits(links, q).join(seed.select("event_id"), "event_id", "left_semi").select("event_id", F.lit("seed_entity").alias("match_stage"), name)
     others = ranked.filter("match_stage <> 'seed_entity'").select("event_id")
-    near = links.join(frontier(links, seed, q).select("entity_id"), "entity_id", "left_semi").join(others, "event_id", "left_semi")
+    near = at_frontier(links, seed, q).join(others, "event_id", "left_semi")
     names = hit.unionByName(near.select("event_id", F.lit("one_hop_expansion").alias("match_stage"), name))
     lists = names.groupBy("event_id", "match_stage").agg(F.array_sort(F.collect_set("name")).alias("matched_entities"))
     return ranked.join(lists, ["event_id", "match_stage"], "left")
@@ -141,10 +148,11 @@ def explained(links: DataFrame, ranked: DataFrame, q: GraphQuery) -> DataFrame:
 def store_graph(events: DataFrame, links: DataFrame, label: str) -> dict[str, DataFrame]:
     """Write the graph's tables once and give them back: events, links, entities.
 
-    Links are clustered by entity, so that a query for entities reads few row
-    groups; what follows joins stored tables, not the plan that made them.
+    Each task sorts its own links by entity, so that a query for entities reads
+    few row groups of a file; links are not shuffled for it, for a frequent
+    entity would gather in one task.
     """
-    clustered = links.repartitionByRange("entity_type", "normalized_value").sortWithinPartitions("entity_type", "normalized_value", "event_id")
+    clustered = links.sortWithinPartitions("entity_type", "normalized_value", "event_id")
     stored = settle(clustered, f"{label}-links")
     return {"events": settle(events, f"{label}-events"), "links": stored, "entities": settle(entity_dictionary(stored), f"{label}-entities")}
 
@@ -225,9 +233,15 @@ def conflicts(rows: DataFrame, key: str, declared: str, found: str) -> DataFrame
 
 
 def entity_dictionary(links: DataFrame) -> DataFrame:
-    """One row an entity; the value seen first (by ordinal) names it."""
-    first = F.min_by("entity_value", "ordinal").alias("entity_value")
-    return links.groupBy("entity_type", "normalized_value").agg(first, F.count(F.lit(1)).alias("n_links")).select(entity_id(F.col("entity_type"), F.col("normalized_value")).alias("entity_id"), "entity_type", "entity_value", "normalized_value", "n_links")
+    """One row an entity; the value seen first (by ordinal, then the smallest) names it.
+
+    Links are counted by value in a hash map with numbers only; the choice of a
+    name, which would sort every link, is left to the few counts.
+    """
+    keys = ["entity_type", "normalized_value"]
+    counted = links.groupBy(*keys, "entity_value").agg(F.min("ordinal").alias("ordinal"), F.count(F.lit(1)).alias("n"))
+    first = F.min_by("entity_value", F.struct(F.col("ordinal").isNull(), "ordinal", "entity_value")).alias("entity_value")
+    return counted.groupBy(*keys).agg(first, F.sum("n").alias("n_links")).select(entity_id(F.col("entity_type"), F.col("normalized_value")).alias("entity_id"), "entity_type", "entity_value", "normalized_value", "n_links")
 
 
 def degree_summary(df: DataFrame, column: str) -> list[Column]:

@@ -33,3 +33,21 @@ def test_more_seed_groups_than_one_word_of_bits(spark):
     for least, found in ((n, 1), (n + 1, 0)):
         queries = values(spark, [(0, least, "AND", ["t"], 5)], "query_id", "n_groups", "operator", "frontier", "max_expanded")
         assert ev.oracle_documents(members, specs, queries).filter(F.col("match_stage") == ev.SEED).count() == found
+
+
+def test_entity_names_are_chosen_without_sorting_links(spark):
+    from caseloom.operators import graph
+
+    links = values(spark, [("poi", "b", "x", 2), ("poi", "a", "x", 1), ("poi", "c", "x", 1), ("poi", "z", "y", 5)], "entity_type", "entity_value", "normalized_value", "ordinal")
+    found = graph.entity_dictionary(links)
+    assert {(r["normalized_value"], r["entity_value"], r["n_links"]) for r in found.collect()} == {("x", "a", 3), ("y", "z", 1)}
+    assert "min(ordinal" in plan(found)
+
+
+def test_graph_queries_read_only_the_types_they_ask_for(spark, tmp_path):
+    from caseloom.plans import graph_plans
+
+    d = "/root/testdata/sf0.001"
+    noise = plan(graph_plans.graph_generic_noise(spark, d))
+    assert "caseloom-shared" not in noise and "-links-" not in noise
+    assert "supplier" not in plan(graph_plans.graph_seed_and(spark, d))
