@@ -36,6 +36,22 @@ def pairs_within(members: DataFrame, group: str, member: str) -> DataFrame:
     return rows.select(group, "lo", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("hi"))
 
 
+def pair_prf(gold: DataFrame, predicted: DataFrame, group: str, member: str) -> DataFrame:
+    """One row of tp, fp, fn and scores of the pairs that ``pairs_within`` would make of both sides, without making them.
+
+    Pairs of a group are all pairs of its members, so their numbers follow from
+    the numbers of members of each side and of both. Both sides are dealt by
+    group once; a null member or group is in no pair.
+    """
+    side = lambda rows, mine: rows.select(F.col(group).alias("__g"), F.col(member).alias("m"), F.lit(mine).alias("g"), F.lit(not mine).alias("p"))
+    rows = side(gold, True).unionByName(side(predicted, False)).filter("__g IS NOT NULL AND m IS NOT NULL").repartition("__g")
+    sets = rows.groupBy("__g", "m").agg(F.max("g").alias("g"), F.max("p").alias("p"))
+    n = lambda cond: F.count(F.when(cond, 1))
+    sizes = sets.groupBy("__g").agg(n(F.col("g")).alias("g"), n(F.col("p")).alias("p"), n(F.col("g") & F.col("p")).alias("b"))
+    pairs = lambda c: F.floor(F.col(c) * (F.col(c) - 1) / 2)
+    return sizes.select(pairs("g").alias("g"), pairs("p").alias("p"), pairs("b").alias("tp")).agg(F.sum("tp").alias("tp"), F.sum(F.col("p") - F.col("tp")).alias("fp"), F.sum(F.col("g") - F.col("tp")).alias("fn")).filter("tp + fp + fn > 0").transform(with_prf)
+
+
 def dice(a: Column, b: Column) -> Column:
     """Dice coefficient of two arrays as sets, 1 for two empty ones."""
     a, b = F.array_distinct(a), F.array_distinct(b)
@@ -285,20 +301,32 @@ def status_transitions(before: DataFrame, after: DataFrame, keys: list[str]) ->
 
 
 def comembership(gold: DataFrame, predicted: DataFrame, group: str) -> DataFrame:
-    """Scores of pairs (lo_role, lo, hi_role, hi) of one issue: all, object with behaviour, and location with either.
+    """Scores of the pairs of members (role, v) of one issue: all, object with behaviour, and location with either.
 
-    ``false_rate`` is the share of predicted pairs that gold lacks.
+    ``gold`` and ``predicted`` hold members. ``false_rate`` is the share of
+    predicted pairs that gold lacks. Pairs are counted, not made: a kind's
+    pairs in an issue are products of the numbers of its members by role.
     """
     place, thing = ("road", "intersection", "poi"), ("problem_object", "problem_behavior")
-    a, b = F.col("lo_role"), F.col("hi_role")
-    kinds = {"issue_co_membership": F.lit(True), "object_behavior_attachment": a.isin(*thing) & b.isin(*thing) & (a != b), "location_attachment": (a.isin(*place) & b.isin(*thing)) | (b.isin(*place) & a.isin(*thing))}
-
-    def kinded(pairs: DataFrame) -> DataFrame:
-        of = F.array_compact(F.array(*(F.when(c, name) for name, c in kinds.items())))
-        return pairs.withColumn("kind", F.explode(of))
-
-    rows = prf(kinded(gold), kinded(predicted), [group, "lo_role", "lo", "hi_role", "hi"], ["kind"])
-    return rows.withColumn("false_rate", ratio(F.col("fp"), F.col("tp") + F.col("fp")))
+    side = lambda rows, mine: rows.select(F.col(group).alias("__g"), "role", "v", F.lit(mine).alias("g"), F.lit(not mine).alias("p"))
+    rows = side(gold, True).unionByName(side(predicted, False)).filter("__g IS NOT NULL").repartition("__g")
+    sets = rows.groupBy("__g", "role", "v").agg(F.max("g").alias("g"), F.max("p").alias("p"))
+    sides = {"g": F.col("g"), "p": F.col("p"), "b": F.col("g") & F.col("p") & F.col("v").isNotNull()}  # nulls equal nothing
+    roles = {"all": F.lit(True), "place": F.col("role").isin(*place), **{t: F.col("role") == t for t in thing}}
+    sizes = sets.groupBy("__g").agg(*(F.count(F.when(c & r, 1)).alias(f"{s}_{name}") for s, c in sides.items() for name, r in roles.items()))
+
+    def numbers(s: str) -> dict[str, Column]:
+        of = lambda name: F.col(f"{s}_{name}")
+        return {
+            "issue_co_membership": F.floor(of("all") * (of("all") - 1) / 2), "object_behavior_attachment": of(thing[0]) * of(thing[1]),
+            "location_attachment": of("place") * (of(thing[0]) + of(thing[1])),
+        }
+
+    g, p, tp = (numbers(s) for s in ("g", "p", "b"))
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), tp[k].alias("tp"), (p[k] - tp[k]).alias("fp"), (g[k] - tp[k]).alias("fn")) for k in g))
+    counts = sizes.select(F.explode(kinds).alias("k")).select("k.*").groupBy("kind").agg(*(F.sum(c).alias(c) for c in ("tp", "fp", "fn")))
+    scored = with_prf(counts.filter("tp + fp + fn > 0"))
+    return scored.withColumn("false_rate", ratio(F.col("fp"), F.col("tp") + F.col("fp")))
 
 
 def discourse_scores(gold: DataFrame, predicted: DataFrame) -> DataFrame:

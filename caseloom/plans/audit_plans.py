@@ -156,9 +156,8 @@ _KINDS = "SELECT *, unnest(list_filter(['issue_co_membership', CASE WHEN lo_role
 @register("comembership_scores", f"SELECT *, round(CASE WHEN tp + fp > 0 THEN fp::DOUBLE / (tp + fp) ELSE 0 END, 4) AS false_rate FROM ({prf_sql(_KINDS.format(p=_PAIR.format(keep='l_linenumber <> 2')), _KINDS.format(p=_PAIR.format(keep='l_linenumber <> 3')), 'grp, lo_role, lo, hi_role, hi', 'kind')})")
 def comembership_scores(spark, d):
     role = F.element_at(F.array(*map(F.lit, ("problem_behavior", "problem_object", "road"))), (F.col("l_linenumber") % 3 + 1).cast("int"))
-    line = table(spark, d, "lineitem").withColumn("m", F.struct(role.alias("role"), F.col("l_suppkey").alias("v")))
-    pairs = lambda keep: ev.pairs_within(line.filter(keep), "l_orderkey", "m").select("l_orderkey", F.col("lo.role").alias("lo_role"), F.col("lo.v").alias("lo"), F.col("hi.role").alias("hi_role"), F.col("hi.v").alias("hi"))
-    return ev.comembership(pairs("l_linenumber <> 2"), pairs("l_linenumber <> 3"), "l_orderkey")
+    line = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", role.alias("role"), F.col("l_suppkey").alias("v"))
+    return ev.comembership(line.filter("l_linenumber <> 2"), line.filter("l_linenumber <> 3"), "l_orderkey")
 
 
 def _talk(rows, q: int, t: int):

@@ -323,8 +323,7 @@ _EVEN = "(SELECT * FROM lineitem WHERE l_linenumber <> 3)"
 @register("pair_comembership", prf_sql(_PAIRS.format(a="lineitem"), _PAIRS.format(a=_EVEN), "grp, lo, hi", "role"))
 def pair_comembership(spark, d):
     line = table(spark, d, "lineitem")
-    pairs = lambda rows: ev.pairs_within(rows, "l_orderkey", "l_suppkey").withColumn("role", F.lit("all"))
-    return ev.prf(pairs(line), pairs(line.filter("l_linenumber <> 3")), ["l_orderkey", "lo", "hi"], ["role"])
+    return ev.pair_prf(line, line.filter("l_linenumber <> 3"), "l_orderkey", "l_suppkey").select(F.lit("all").alias("role"), "*")
 
 
 @register("hyperedge_exact", """WITH g AS (SELECT l_orderkey, list_sort(list(DISTINCT l_suppkey)) AS m FROM lineitem GROUP BY 1), p AS (SELECT l_orderkey, list_sort(list(DISTINCT l_suppkey)) AS m FROM lineitem WHERE l_linenumber <> 3 GROUP BY 1)

@@ -51,3 +51,14 @@ def test_graph_queries_read_only_the_types_they_ask_for(spark, tmp_path):
     noise = plan(graph_plans.graph_generic_noise(spark, d))
     assert "caseloom-shared" not in noise and "-links-" not in noise
     assert "supplier" not in plan(graph_plans.graph_seed_and(spark, d))
+
+
+def test_pairs_are_counted_without_being_made(spark):
+    gold = [(1, "road", 1), (1, "problem_object", 2), (1, "problem_behavior", 3), (1, "road", 1), (2, "road", 5), (None, "road", 1), (None, "road", 2)]
+    guess = [(1, "road", 1), (1, "problem_object", 2), (1, "problem_object", 4), (3, "road", 5), (3, "poi", 6)]
+    one, two = (spark.createDataFrame(rows, "k long, role string, v long") for rows in (gold, guess))
+    plain = ev.prf(*(ev.pairs_within(rows.filter("k IS NOT NULL"), "k", "v").withColumn("role", F.lit("all")) for rows in (one, two)), ["k", "lo", "hi"], ["role"]).drop("role")
+    assert ev.pair_prf(one, two, "k", "v").collect() == plain.collect()
+    assert "explode" not in plan(ev.pair_prf(one, two, "k", "v"))
+    got = {r["kind"]: (r["tp"], r["fp"], r["fn"]) for r in ev.comembership(one, two, "k").collect()}
+    assert got == {"issue_co_membership": (1, 3, 2), "object_behavior_attachment": (0, 0, 1), "location_attachment": (1, 1, 1)}
