@@ -19,6 +19,9 @@ def postings(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
 #: Query tokens up to which their weights are broadcast; beyond that the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
+#: Rows of (query, document, token) that one task makes, counted before the hits are dealt.
+TASK_ROWS = 2_000_000
+
 
 def bm25(docs: DataFrame, id_col: str, text: Column, queries: DataFrame, keep: Column | None = None, k1: float = K1, b: float = B) -> DataFrame:
     """(query_id, doc_id, score) for ``queries`` (query_id, query).
@@ -27,7 +30,7 @@ def bm25(docs: DataFrame, id_col: str, text: Column, queries: DataFrame, keep: C
     for each of its tokens that some query has. Length, document frequencies
     and scores come from that table. Scoring deals its rows by document, and
     a document's (query, document) rows are summed where they arise, so pairs
-    are not shuffled; ``top_k`` by query then sends k rows a task and query.
+    are not shuffled; the number of tasks follows from the number of these rows; ``top_k`` by query then sends k rows a task and query.
     Statistics cover the whole corpus; ``keep`` only decides which documents
     are returned. Query tokens count once.
     """
@@ -45,7 +48,8 @@ def bm25(docs: DataFrame, id_col: str, text: Column, queries: DataFrame, keep: C
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = asked.join(df, "token").crossJoin(F.broadcast(stats)).select("query_id", "token", "avgdl", idf.alias("idf"))  # stats are one row
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    rows = tf.filter("keep").repartition("doc_id").join(small(weights), "token")
+    made = tf.filter("keep").groupBy("token").agg(F.count(F.lit(1)).alias("n")).join(asked.groupBy("token").agg(F.count(F.lit(1)).alias("q")), "token").agg(F.sum(F.col("n") * F.col("q"))).first()[0] or 0
+    rows = tf.filter("keep").repartition(max(1, -(-made // TASK_ROWS)), "doc_id").join(small(weights), "token")
     return rows.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
 
 

@@ -62,3 +62,12 @@ def test_pairs_are_counted_without_being_made(spark):
     assert "explode" not in plan(ev.pair_prf(one, two, "k", "v"))
     got = {r["kind"]: (r["tp"], r["fp"], r["fn"]) for r in ev.comembership(one, two, "k").collect()}
     assert got == {"issue_co_membership": (1, 3, 2), "object_behavior_attachment": (0, 0, 1), "location_attachment": (1, 1, 1)}
+
+
+def test_bm25_deals_hits_by_the_rows_they_make(spark, monkeypatch):
+    from caseloom.operators import retrieval as rt
+
+    monkeypatch.setattr(rt, "TASK_ROWS", 10, raising=False)
+    docs = spark.range(50).select("id", F.lit("a b").alias("text"))
+    queries = spark.range(3).select(F.col("id").alias("query_id"), F.lit("a").alias("query"))
+    assert "hashpartitioning(doc_id" in (p := plan(rt.bm25(docs, "id", F.col("text"), queries))) and ", 15), REPARTITION_BY_NUM" in p
