@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.session import numbered, settle
+from caseloom.session import numbered, settle, values
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -99,74 +99,100 @@ SEED, HOP = "seed_entity", "one_hop_expansion"
 
 #: Groups that one column of bits can hold.
 BITS = 62
+#: Queries that one pass scores; each has columns of its own.
+PASS_QUERIES = 8
 #: Wanted entities up to which they are broadcast; beyond that the join shuffles.
 WANTED_ROWS = 200_000
 #: Expanded documents a query up to which each task sends only its best.
 BEST_ROWS = 1000
+#: Rows of members that one task deals with.
+TASK_ROWS = 300_000
+
+
+def oracle_documents(members: DataFrame, specs: DataFrame, queries: DataFrame, named: bool = True) -> DataFrame:
+    """The rows of ``oracle_query`` without their ranks, and unless ``named`` without ``matched_entities``; ``specs`` and ``queries`` are configuration-sized."""
+    asked = queries.select("query_id", F.when(F.upper("operator") == "OR", F.lit(1)).otherwise(F.col("n_groups")).alias("need"), "frontier").collect()
+    tasks = max(members.sparkSession.sparkContext.defaultParallelism, members.count() // TASK_ROWS + 1)
+    out = None
+    for i in range(0, max(1, len(asked)), PASS_QUERIES):
+        part = _oracle_pass(members, specs, asked[i : i + PASS_QUERIES], queries.schema["query_id"].dataType, tasks, named)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-def oracle_documents(members: DataFrame, specs: DataFrame, queries: DataFrame) -> DataFrame:
-    """The rows of ``oracle_query`` without their ranks.
+def _oracle_pass(members: DataFrame, specs: DataFrame, asked: list, id_type, tasks: int, named: bool) -> DataFrame:
+    """Documents of a few queries.
 
-    An event belongs to one document, so members are dealt by document once a
-    pass, and events, seeds, hops and documents are all summed where they lie.
-    The first pass finds the entities at the frontier, the second scores; what
-    is wanted of an entity (seed groups as bits, or the hop) is joined to its
-    members, so no event is joined to another. ``specs`` and ``queries`` are
-    configuration-sized. A caller that drops ``matched_entities`` gets a plan
-    without lists.
+    An event belongs to one document, so members are dealt by document, once to
+    find the entities at the frontier and once to score. What a member means to
+    each query is known before it is dealt: seed groups as bits, and for the
+    seed and the hop one bit a query. Each query has its own columns, so no row
+    is repeated for it until documents are made, and members that no query
+    wants are not dealt. Only if ``named`` are lists made.
     """
-    members = members.select("event_id", "doc_id", "entity_type", "value").repartition("doc_id").distinct()
-    entity, name = ["entity_type", "value"], F.concat_ws(":", "entity_type", "value")
-    asked = queries.select("query_id", F.when(F.upper("operator") == "OR", F.lit(1)).otherwise(F.col("n_groups")).alias("need"), "frontier")
-    limits = {r["query_id"]: (bool(r["frontier"]), r["max_expanded"]) for r in queries.select("query_id", "frontier", "max_expanded").collect()}
-    hopping = [q for q, (types, _) in limits.items() if types]
-
-    most = specs.groupBy("query_id").agg(F.count_distinct("group").alias("n")).agg(F.max("n")).first()[0] or 0
-    words = range(most // BITS + 1)
+    entity, where = ["entity_type", "value"], ["doc_id", "event_id"]
+    number = {r["query_id"]: i for i, r in enumerate(asked)}
+    hops = [i for i, r in enumerate(asked) if r["frontier"]]
     nth = F.dense_rank().over(Window.partitionBy("query_id").orderBy("group")) - 1
-    bit = lambda w: F.when(F.col("group").isNotNull() & (F.floor(F.col("nth") / BITS) == w), F.expr(f"shiftleft(1L, nth % {BITS})")).otherwise(F.lit(0).cast("long"))
-    seeded = specs.filter("group IS NOT NULL").withColumn("nth", nth).unionByName(specs.filter("group IS NULL").withColumn("nth", F.lit(0)))
-    seeded = seeded.groupBy("query_id", *entity).agg(*(F.bit_or(bit(w)).alias(f"g{w}") for w in words)).join(asked.drop("frontier"), "query_id")
-
-    def want(rows: DataFrame, hit: bool, keys: list[str], out: str) -> DataFrame:
-        groups = (F.col(f"g{w}") if hit else F.lit(0).cast("long").alias(f"g{w}") for w in words)
-        return rows.groupBy(*keys).agg(F.collect_list(F.struct("query_id", "need", *groups, F.lit(hit).alias("hit"))).alias(out))
-
-    def events(rows: DataFrame, *lists: Column) -> DataFrame:
-        got = sum((F.bit_count(F.bit_or(f"g{w}")) for w in words[1:]), F.bit_count(F.bit_or("g0")))
-        count = lambda cond, out: F.count(F.when(cond, 1)).alias(out)
-        found = rows.groupBy("query_id", "need", "event_id", "doc_id").agg(got.alias("got"), count(F.col("hit"), "n_seed"), count(~F.col("hit"), "n_near"), *lists)
-        return found.withColumn("seed", (F.col("n_seed") > 0) & (F.col("got") >= F.col("need")))
-
-    spread = lambda rows, list_: rows.select("event_id", "doc_id", *entity, F.explode(list_).alias("w")).select("event_id", "doc_id", *entity, "w.*")
-    wanted = seeded.select("query_id", "need", *entity, *(f"g{w}" for w in words), F.lit(True).alias("hit"))
-    if hopping:
-        types = asked.filter(F.col("query_id").isin(*hopping)).select("query_id", "need", F.explode("frontier").alias("entity_type")).distinct()
-        a = want(seeded.filter(F.col("query_id").isin(*hopping)), True, entity, "a")
-        b = want(types, False, ["entity_type"], "b")
-        near = members.join(F.broadcast(a), entity, "left").join(F.broadcast(b), "entity_type", "left")
-        none = F.array().cast(a.schema["a"].dataType)
-        rows = spread(near, F.concat(F.coalesce("a", none), F.coalesce("b", none)))
-        seeds = events(rows, F.collect_list(F.when(~F.col("hit"), F.struct(*entity))).alias("at")).filter("seed")
-        at = settle(seeds.select("query_id", "need", F.explode("at").alias("e")).select("query_id", "need", "e.*").distinct(), "oracle-frontier")
-        wanted = wanted.unionByName(at.select("query_id", "need", *entity, *(F.lit(0).cast("long").alias(f"g{w}") for w in words), F.lit(False).alias("hit")))
-    wanted = wanted.groupBy(*entity).agg(F.collect_list(F.struct("query_id", "need", *(f"g{w}" for w in words), "hit")).alias("w"))
-    if hopping:
+    specs = specs.filter(F.col("query_id").isin(*number)) if number else specs.limit(0)
+    marked = specs.filter("group IS NOT NULL").withColumn("nth", nth).unionByName(specs.filter("group IS NULL").withColumn("nth", F.lit(None).cast("int")))
+    most = marked.agg(F.max("nth")).first()[0] or 0
+    words, zero = range(most // BITS + 1), F.lit(0).cast("long")
+    bit = lambda w: F.when(F.floor(F.col("nth") / BITS) == w, F.expr(f"shiftleft(1L, nth % {BITS})")).otherwise(zero)
+    mine = lambda q: F.col("query_id") == F.lit(q)
+    flag = lambda i: F.lit(1 << i).cast("long")
+    has = lambda c, i: F.col(c).bitwiseAND(flag(i)) != 0
+    group = lambda i, w: f"g{i}_{w}"
+    groups = [F.bit_or(F.when(mine(q), bit(w)).otherwise(zero)).alias(group(i, w)) for q, i in number.items() for w in words]
+    hit = sum((F.bit_or(F.when(mine(q), flag(i)).otherwise(zero)) for q, i in number.items()), zero)
+    seeded = marked.groupBy(*entity).agg(hit.alias("hit"), *groups)
+    got = lambda i, bits: sum((F.bit_count(bits(group(i, w))) for w in words), F.lit(0))
+
+    near = None
+    if hops:
+        kinds: dict[str, int] = {}
+        for i in hops:
+            for kind in asked[i]["frontier"]:
+                kinds[kind] = kinds.get(kind, 0) | 1 << i
+        types = values(members.sparkSession, list(kinds.items()), "entity_type", "near").withColumn("near", F.col("near").cast("long"))
+        rows = members.join(F.broadcast(seeded), entity, "left").join(F.broadcast(types), "entity_type", "left").filter("hit IS NOT NULL OR near IS NOT NULL")
+        some = ["hit", "near", *(group(i, w) for i in hops for w in words)]
+        rows = rows.select(*where, *entity, *(F.coalesce(c, zero).alias(c) for c in some)).repartition(tasks, "doc_id")
+        event = Window.partitionBy(*where)
+        bits = rows.select(*entity, "near", F.bit_or("hit").over(event).alias("__hit"), *(F.bit_or(group(i, w)).over(event).alias(group(i, w)) for i in hops for w in words))
+        seen = sum((F.when(has("__hit", i) & has("near", i) & (got(i, F.col) >= asked[i]["need"]), flag(i)).otherwise(zero) for i in hops), zero)
+        near = bits.select(*entity, seen.alias("near")).filter("near <> 0").groupBy(*entity).agg(F.bit_or("near").alias("near"))
+    wanted = seeded.join(near, entity, "full_outer") if hops else seeded.withColumn("near", zero)
+    masks = ["hit", "near", *(group(i, w) for i in number.values() for w in words)]
+    wanted = wanted.select(*entity, *(F.coalesce(c, zero).alias(c) for c in masks))
+    if hops:
         wanted = settle(wanted, "oracle-wanted")
-    small = F.broadcast if not hopping or wanted.count() <= WANTED_ROWS else lambda df: df
-    lists = [F.collect_list(F.when(cond, name)).alias(n) for cond, n in ((F.col("hit"), "seed_names"), (~F.col("hit"), "near_names"))]
-    found = events(spread(members.join(small(wanted), entity), F.col("w")), *lists).filter("seed OR n_near > 0")
-    score = F.when(F.col("seed"), F.col("n_seed") * 10.0).otherwise(F.col("n_near") * 3.0 - 5.0)
-    names = F.when(F.col("seed"), F.col("seed_names")).otherwise(F.col("near_names"))
-    docs = found.groupBy("query_id", "doc_id").agg(
-        F.max("seed").alias("seed"), F.max(score).alias("score"), F.count(F.when(F.col("seed"), 1)).alias("seed_events"), F.count(F.when(~F.col("seed"), 1)).alias("expanded_events"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(names)))).alias("matched_entities"),
-    )
-    docs = docs.select("query_id", "doc_id", F.when(F.col("seed"), SEED).otherwise(HOP).alias("match_stage"), "score", "seed_events", "expanded_events", "matched_entities")
-    if not hopping:
-        return docs.filter(F.col("match_stage") == SEED)
-    return docs
+    small = F.broadcast if not hops or wanted.count() <= WANTED_ROWS else lambda df: df
+    rows = members.join(small(wanted), entity).select(*where, *entity, *masks).repartition(tasks, "doc_id").distinct()
+
+    count = lambda cond, out: F.count(F.when(cond, 1)).alias(out)
+    sums = [x for i in number.values() for x in (*(F.bit_or(group(i, w)).alias(group(i, w)) for w in words), count(has("hit", i), f"s{i}"), *([count(has("near", i), f"n{i}")] if i in hops else []))]
+    lists = [F.collect_list(F.struct(F.concat_ws(":", *entity).alias("name"), "hit", "near")).alias("names")] if named else []
+    events = rows.groupBy(*where).agg(*sums, *lists)
+    seed = lambda i: (F.col(f"s{i}") > 0) & (got(i, F.col) >= asked[i]["need"])
+    events = events.select("doc_id", *(["names"] if named else []), *(F.col(f"n{i}") for i in hops), *(F.col(f"s{i}") for i in number.values()), *(seed(i).alias(f"seed{i}") for i in number.values()))
+
+    def of_query(i: int) -> list[Column]:
+        is_seed, near_ = F.col(f"seed{i}"), F.col(f"n{i}") if i in hops else zero
+        is_hop = ~is_seed & (near_ > 0)
+        out = [count(is_seed, f"seeds{i}"), count(is_hop, f"hops{i}"), F.max(F.when(is_seed, F.col(f"s{i}") * 10.0).when(is_hop, near_ * 3.0 - 5.0)).alias(f"score{i}")]
+        if not named:
+            return out
+        names = F.filter("names", lambda x: F.when(is_seed, x["hit"].bitwiseAND(flag(i)) != 0).otherwise(x["near"].bitwiseAND(flag(i)) != 0))
+        return [*out, F.collect_list(F.when(is_seed | is_hop, F.transform(names, lambda x: x["name"]))).alias(f"names{i}")]
+
+    docs = events.groupBy("doc_id").agg(*(c for i in number.values() for c in of_query(i)))
+    rows = [
+        F.when(F.col(f"seeds{i}") + F.col(f"hops{i}") > 0, F.struct(F.lit(q).cast(id_type).alias("query_id"), F.when(F.col(f"seeds{i}") > 0, SEED).otherwise(HOP).alias("match_stage"), F.col(f"score{i}").alias("score"), F.col(f"seeds{i}").alias("seed_events"), F.col(f"hops{i}").alias("expanded_events"), *([F.col(f"names{i}").alias("names")] if named else [])))
+        for q, i in number.items()
+    ]
+    docs = docs.select("doc_id", F.explode(F.array(*rows)).alias("q")).filter("q IS NOT NULL")
+    return docs.select("q.query_id", "doc_id", "q.match_stage", "q.score", "q.seed_events", "q.expanded_events", *([F.array_sort(F.array_distinct(F.flatten("q.names"))).alias("matched_entities")] if named else []))
 
 
 def best_expanded(docs: DataFrame, queries: DataFrame) -> DataFrame:
@@ -184,7 +210,7 @@ def best_expanded(docs: DataFrame, queries: DataFrame) -> DataFrame:
 
 def oracle_kept(members: DataFrame, specs: DataFrame, queries: DataFrame, *columns: str) -> DataFrame:
     """The documents that ``oracle_query`` ranks, with these columns (none: all), written once."""
-    docs = oracle_documents(members, specs, queries)
+    docs = oracle_documents(members, specs, queries, not columns or "matched_entities" in columns)
     need = dict.fromkeys(("query_id", "doc_id", "match_stage", "score", *columns)) if columns else docs.columns
     return best_expanded(settle(docs.select(*need), "oracle-documents"), queries)
 
@@ -269,7 +295,7 @@ def paired_effects(one: DataFrame, other: DataFrame, qrels: DataFrame) -> DataFr
 def oracle_rollup(members: DataFrame, specs: DataFrame) -> DataFrame:
     """Seeds alone, every group asked for: (query_id, doc_id, score, n_events)."""
     queries = specs.groupBy("query_id").agg(F.count_distinct("group").alias("n_groups")).withColumns({"operator": F.lit("AND"), "frontier": F.lit(None).cast("array<string>"), "max_expanded": F.lit(0)})
-    return oracle_documents(members, specs, queries).select("query_id", "doc_id", "score", F.col("seed_events").alias("n_events"))
+    return oracle_documents(members, specs, queries, False).select("query_id", "doc_id", "score", F.col("seed_events").alias("n_events"))
 
 
 def set_counts(sides: dict[str, DataFrame], keys: list[str], by: list[str]) -> DataFrame:

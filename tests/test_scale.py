@@ -71,3 +71,13 @@ def test_bm25_deals_hits_by_the_rows_they_make(spark, monkeypatch):
     docs = spark.range(50).select("id", F.lit("a b").alias("text"))
     queries = spark.range(3).select(F.col("id").alias("query_id"), F.lit("a").alias("query"))
     assert "hashpartitioning(doc_id" in (p := plan(rt.bm25(docs, "id", F.col("text"), queries))) and ", 15), REPARTITION_BY_NUM" in p
+
+
+def test_oracle_tasks_grow_with_members_and_queries_take_several_passes(spark, monkeypatch):
+    members = spark.range(60).select(F.col("id").cast("string").alias("event_id"), F.col("id").alias("doc_id"), F.lit("t").alias("entity_type"), (F.col("id") % 20).cast("string").alias("value"))
+    specs = spark.range(20).select(F.col("id").cast("int").alias("query_id"), F.lit(0).alias("group"), F.lit("t").alias("entity_type"), F.col("id").cast("string").alias("value"))
+    queries = values(spark, [(q, 1, "AND", ["t"] if q % 2 else [], 5) for q in range(20)], "query_id", "n_groups", "operator", "frontier", "max_expanded")
+    monkeypatch.setattr(ev, "TASK_ROWS", 6)
+    docs = ev.oracle_documents(members, specs, queries, False)
+    assert "collect_list" not in plan(docs) and "hashpartitioning(doc_id" in plan(docs) and ", 11), REPARTITION_BY_NUM" in plan(docs)
+    assert {(r["query_id"], r["doc_id"], r["score"]) for r in docs.collect()} == {(i % 20, i, 10.0) for i in range(60)}
