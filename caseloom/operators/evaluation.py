@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from caseloom.session import numbered, settle, values
 
 
+#: Rows of members that one task deals with.
+TASK_ROWS = 300_000
+
+
+def tasks_for(*sides: DataFrame) -> int:
+    """As many tasks as the rows of all sides ask for, which are counted."""
+    return max(sides[0].sparkSession.sparkContext.defaultParallelism, sum(rows.count() for rows in sides) // TASK_ROWS + 1)
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b to four digits, 0 where b is 0."""
     return F.when(b > 0, F.round(a / b, 4)).otherwise(0.0)
@@ -41,10 +50,11 @@ def pair_prf(gold: DataFrame, predicted: DataFrame, group: str, member: str) ->
 
     Pairs of a group are all pairs of its members, so their numbers follow from
     the numbers of members of each side and of both. Both sides are dealt by
-    group once; a null member or group is in no pair.
+    group once, to as many tasks as their rows ask for; a null member or group
+    is in no pair.
     """
     side = lambda rows, mine: rows.select(F.col(group).alias("__g"), F.col(member).alias("m"), F.lit(mine).alias("g"), F.lit(not mine).alias("p"))
-    rows = side(gold, True).unionByName(side(predicted, False)).filter("__g IS NOT NULL AND m IS NOT NULL").repartition("__g")
+    rows = side(gold, True).unionByName(side(predicted, False)).filter("__g IS NOT NULL AND m IS NOT NULL").repartition(tasks_for(gold, predicted), "__g")
     sets = rows.groupBy("__g", "m").agg(F.max("g").alias("g"), F.max("p").alias("p"))
     n = lambda cond: F.count(F.when(cond, 1))
     sizes = sets.groupBy("__g").agg(n(F.col("g")).alias("g"), n(F.col("p")).alias("p"), n(F.col("g") & F.col("p")).alias("b"))
@@ -105,14 +115,12 @@ PASS_QUERIES = 8
 WANTED_ROWS = 200_000
 #: Expanded documents a query up to which each task sends only its best.
 BEST_ROWS = 1000
-#: Rows of members that one task deals with.
-TASK_ROWS = 300_000
 
 
 def oracle_documents(members: DataFrame, specs: DataFrame, queries: DataFrame, named: bool = True) -> DataFrame:
     """The rows of ``oracle_query`` without their ranks, and unless ``named`` without ``matched_entities``; ``specs`` and ``queries`` are configuration-sized."""
     asked = queries.select("query_id", F.when(F.upper("operator") == "OR", F.lit(1)).otherwise(F.col("n_groups")).alias("need"), "frontier").collect()
-    tasks = max(members.sparkSession.sparkContext.defaultParallelism, members.count() // TASK_ROWS + 1)
+    tasks = tasks_for(members)
     out = None
     for i in range(0, max(1, len(asked)), PASS_QUERIES):
         part = _oracle_pass(members, specs, asked[i : i + PASS_QUERIES], queries.schema["query_id"].dataType, tasks, named)
@@ -335,7 +343,7 @@ def comembership(gold: DataFrame, predicted: DataFrame, group: str) -> DataFrame
     """
     place, thing = ("road", "intersection", "poi"), ("problem_object", "problem_behavior")
     side = lambda rows, mine: rows.select(F.col(group).alias("__g"), "role", "v", F.lit(mine).alias("g"), F.lit(not mine).alias("p"))
-    rows = side(gold, True).unionByName(side(predicted, False)).filter("__g IS NOT NULL").repartition("__g")
+    rows = side(gold, True).unionByName(side(predicted, False)).filter("__g IS NOT NULL").repartition(tasks_for(gold, predicted), "__g")
     sets = rows.groupBy("__g", "role", "v").agg(F.max("g").alias("g"), F.max("p").alias("p"))
     sides = {"g": F.col("g"), "p": F.col("p"), "b": F.col("g") & F.col("p") & F.col("v").isNotNull()}  # nulls equal nothing
     roles = {"all": F.lit(True), "place": F.col("role").isin(*place), **{t: F.col("role") == t for t in thing}}

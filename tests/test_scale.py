@@ -81,3 +81,11 @@ def test_oracle_tasks_grow_with_members_and_queries_take_several_passes(spark, m
     docs = ev.oracle_documents(members, specs, queries, False)
     assert "collect_list" not in plan(docs) and "hashpartitioning(doc_id" in plan(docs) and ", 11), REPARTITION_BY_NUM" in plan(docs)
     assert {(r["query_id"], r["doc_id"], r["score"]) for r in docs.collect()} == {(i % 20, i, 10.0) for i in range(60)}
+
+
+def test_pairs_are_dealt_to_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(ev, "TASK_ROWS", 10)
+    rows = spark.range(50).select((F.col("id") % 5).alias("k"), F.lit("road").alias("role"), F.col("id").alias("v"))
+    for found in (ev.pair_prf(rows, rows, "k", "v"), ev.comembership(rows, rows, "k")):
+        assert ", 11), REPARTITION_BY_NUM" in plan(found)
+        assert found.first()["tp"] == 5 * 45
