@@ -31,7 +31,9 @@ PROXIES = {
     "high_urgency": "催办|再次要求|仍未解决|长期未解决|至今未",
     "critical_risk": "人身安全|火灾|燃气泄漏|漏气|坍塌|倒塌|触电|爆炸|生命危险",
 }
-SENTENCE_END = r"[。！？!?；;\n]+"
+SENTENCE_END = r"。！？!?；;\n"
+#: No pattern takes more than so many characters in a row that are neither Han nor digits, and each ends in a Han character.
+REACH = 20
 LONG = (600, 1400)
 EMPTY = "<EMPTY>"
 
@@ -41,12 +43,27 @@ def _said(name: str) -> Column:
 
 
 def many_sentences(content: Column, least: int = 3) -> Column:
-    return F.size(F.filter(F.split(content, SENTENCE_END), lambda x: x.rlike(r"(?U)\S"))) >= least
+    """Whether ``least`` sentences have a character that is not white space; the text is read once, and no further than that."""
+    shown = rf"[^{SENTENCE_END}\s]"
+    return content.rlike(rf"(?U)^[{SENTENCE_END}\s]*+{shown}(?:[^{SENTENCE_END}]*+[{SENTENCE_END}][{SENTENCE_END}\s]*+{shown}){{{least - 1}}}")
 
 
-def proxies(fields: tuple[str, ...] = FIELDS) -> dict[str, Column]:
-    """Each lexical flag as a condition on the fields, joined by newlines."""
+def with_searched(orders: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """``orders`` with ``__searched``: the fields joined by newlines, without what no pattern of ``PROXIES`` can reach.
+
+    Of a run of characters that are neither Han nor digits the first and last
+    ``REACH`` stay. No match crosses the gap, for none takes so many of them in
+    a row, and none begins or ends in it. So long texts of other scripts are
+    read once, not once a pattern.
+    """
     joined = F.concat_ws("\n", *(F.nullif(_said(f), F.lit("")) for f in fields))
+    other = r"[^一-鿿\p{Nd}]"
+    return orders.withColumn("__searched", F.regexp_replace(joined, rf"({other}{{{REACH}}}){other}+({other}{{{REACH}}})", "$1\n$2"))
+
+
+def proxies() -> dict[str, Column]:
+    """Each lexical flag as a condition on the rows of ``with_searched``."""
+    joined = F.col("__searched")
     return {name: joined.rlike(pattern) for name, pattern in PROXIES.items()} | {"multi_sentence_3plus": many_sentences(_said("case_content_clean"))}
 
 
@@ -62,7 +79,7 @@ def descriptors(orders: DataFrame, model: str | None = None) -> DataFrame:
     if model:
         gaps = F.transform(F.filter(F.coalesce(f"{model}.warnings", F.array().cast("array<string>")), lambda w: w.startswith("semantic_gap:")), lambda w: F.concat(F.lit("model_"), F.replace(w, F.lit(":"), F.lit("_"))))
         flags = F.concat(flags, F.array_compact(F.array(F.when(F.col(f"{model}.repaired"), "model_repair"))), gaps)
-    return orders.select("doc_id", "content_hash", *shown, pf.length_bucket(F.length(_said("case_content_clean"))).alias("length_bucket"), F.array_sort(F.array_distinct(flags)).alias("challenge_flags"))
+    return with_searched(orders).select("doc_id", "content_hash", *shown, pf.length_bucket(F.length(_said("case_content_clean"))).alias("length_bucket"), F.array_sort(F.array_distinct(flags)).alias("challenge_flags"))
 
 
 def with_rare(described: DataFrame, column: str = "type3", most: int = 10) -> DataFrame:
@@ -118,7 +135,7 @@ def input_counts(orders: DataFrame, budget: int = 2200) -> DataFrame:
     size = F.length(_said("case_content_clean"))
     flags = proxies() | {f"content_over_{n}": size > n for n in LONG} | {"content_over_input_limit": size > budget}
     conditions = {("field_presence", f): _said(f) != "" for f in FIELDS} | {("proxy_counts", name): c for name, c in flags.items()}
-    sums = orders.agg(F.count(F.lit(1)).alias("total"), *(F.count(F.when(c, 1)).alias(f"c{i}") for i, c in enumerate(conditions.values())))
+    sums = with_searched(orders).agg(F.count(F.lit(1)).alias("total"), *(F.count(F.when(c, 1)).alias(f"c{i}") for i, c in enumerate(conditions.values())))
     entries = F.array(*(F.struct(F.lit(section).alias("section"), F.lit(key).alias("key"), F.col(f"c{i}").alias("n")) for i, (section, key) in enumerate(conditions)))
     rate = F.when(F.col("total") > 0, F.round(F.col("e.n") / F.col("total"), 4)).otherwise(0.0)
     return sums.select("total", F.explode(entries).alias("e")).select("e.*", rate.alias("rate"))

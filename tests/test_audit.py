@@ -1,6 +1,7 @@
 """Input profiles, run reports, audits, exact quantiles and BM25 against plain versions."""
 
 import math
+import random
 import re
 
 import pytest
@@ -174,3 +175,29 @@ def test_bm25_batch_against_a_plain_version(spark, monkeypatch, broadcast_rows):
 
 def test_verbatim_json(spark):
     assert spark.range(1).select(tx.canonical_json({"b": tx.Verbatim(F.lit("[1]")), "a": F.lit("x")})).first()[0] == '{"a":"x","b":[1]}'
+
+
+def test_flags_do_not_change_when_out_of_reach_text_is_left_out(spark):
+    assert all(re.search(r"[^|一-鿿]", part) is None for name in ip.PROXIES if not name.endswith("_form") for part in ip.PROXIES[name])
+    gap, digits = "lorem ipsum, " * 30, "7" * 60
+    parts = ["人民路", "与", "解放街", "/", "ab路", "a" * 16 + "路", "路" + digits + "号", "未", "投", "诉", gap, "x" * 19, "x" * 41, "。", "；", " 　\n", "٣" * 45, "巷٣号"]
+    rng = random.Random(5)
+    said = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(400)]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(said)], "doc_id long, case_content_clean string").withColumns({f: F.lit("") for f in ip.FIELDS if f != "case_content_clean"})
+    searched = ip.with_searched(rows)
+    plain = {name: F.col("case_content_clean").rlike(p) for name, p in ip.PROXIES.items()}
+    plain["multi_sentence_3plus"] = F.size(F.filter(F.split("case_content_clean", r"[。！？!?；;\n]+"), lambda x: x.rlike(r"(?U)\S"))) >= 3
+    got = searched.select("case_content_clean", F.length("__searched").alias("n"), *(c.alias(n) for n, c in ip.proxies().items()), *(c.alias(f"p_{n}") for n, c in plain.items())).collect()
+    assert [(r["case_content_clean"], n) for r in got for n in plain if r[n] != r[f"p_{n}"]] == []
+    assert all(r["n"] < 500 for r in got if r["case_content_clean"] == gap * 2) and any(r["n"] < len(r["case_content_clean"]) for r in got)
+
+
+def test_counted_redaction_skips_texts_without_a_match(spark):
+    said = ["a@b.cn, c@d.org", "电话13812345678", "微信:abcdefg WeChat abcdefg", "nothing", None, "联系人：张三，13812345678", "姓名：李四", "١" * 20]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(said)], "i int, x string")
+    both = tx.redact(tx.redact(rows, "x", "plain"), "x", "counted", "hits")
+    assert "> 0) THEN regexp_replace" in tx.redact(rows, "x", counts="hits")._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["i"]: r for r in both.collect()}
+    assert all(r["plain"] == r["counted"] for r in got.values())
+    hits = {i: {k: n for k, n in r["hits"].asDict().items() if n} for i, r in got.items()}
+    assert hits == {0: {"email": 2}, 1: {"phone": 1}, 2: {"wechat": 2}, 3: {}, 4: {}, 5: {"contact_name": 1, "phone": 1}, 6: {"name": 1}, 7: {"long_number": 1}}
