@@ -153,23 +153,23 @@ def redact(df, column: str, out: str | None = None, counts: str | None = None):
     """``df`` with ``column`` redacted into ``out`` and, if named, a struct of counters.
 
     The steps are chained columns, so each pattern sees what the last one left.
-    Without counters a step runs only on texts that hold what it needs; with
-    them, many columns are redacted in one plan, which guards would blow up.
+    A step runs only on texts that hold what it needs; with counters it
+    replaces only where it counted a match.
     """
     out = out or column
     work = df.withColumn(out, F.coalesce(F.col(column), F.lit("")))
     names: dict[str, list[str]] = {c: [] for c in COUNTERS}
     for k, step in enumerate(REDACTIONS):
         done = F.regexp_replace(out, _unicode(step.find), step.put)
+        may = F.col(out).rlike(_unicode(r"\d{10}")) if step.digits else F.lit(not step.needs)
+        for word in step.needs:
+            may = may | F.contains(F.col(out), F.lit(word))
         if counts:
             name = f"__{out}_{k}"
             names[step.counter].append(name)
-            work = work.withColumn(name, F.regexp_count(out, F.lit(_unicode(step.find))))
-        elif step.needs or step.digits:
-            may = F.col(out).rlike(_unicode(r"\d{10}")) if step.digits else F.lit(False)
-            for word in step.needs:
-                may = may | F.contains(F.col(out), F.lit(word))
-            done = F.when(may, done).otherwise(F.col(out))
+            work = work.withColumn(name, F.when(may, F.regexp_count(out, F.lit(_unicode(step.find)))).otherwise(0))
+            may = F.col(name) > 0
+        done = F.when(may, done).otherwise(F.col(out))
         work = work.withColumn(out, done)
     if counts:
         parts = [sum((F.col(n) for n in some[1:]), F.col(some[0])).cast("long").alias(c) for c, some in names.items()]
