@@ -78,14 +78,21 @@ def seed_hits(links: DataFrame, q: GraphQuery) -> DataFrame:
     return links.join(F.broadcast(spec), (links["entity_type"] == spec["entity_type"]) & (squeeze(links["normalized_value"]) == spec["want"])).drop(spec["entity_type"]).drop("want")
 
 
+def wanted_links(links: DataFrame, events: DataFrame, q: GraphQuery, discourse: DataFrame | None = None) -> DataFrame:
+    """Links of the events that the filters leave; all where there is no filter."""
+    kept = event_filter(events, q, discourse)
+    return links if kept is events else links.join(kept.select("event_id"), "event_id", "left_semi")
+
+
 def seeds(links: DataFrame, events: DataFrame, q: GraphQuery, discourse: DataFrame | None = None) -> DataFrame:
     """(event_id, doc_id, matched, confidence_sum) of seed events.
 
     AND asks for every group, also for one without values, which no event
-    hits. Matches and confidence count over the link rows of all groups.
+    hits. Matches and confidence count over the link rows of all groups. Links
+    of events that the filters drop are left out before they are counted.
     """
     need = len(q.groups) if q.operator.upper() == "AND" else 1
-    hit = seed_hits(links, q)
+    hit = wanted_links(seed_hits(links, q), events, q, discourse)
     by_event = hit.groupBy("event_id").agg(F.count_distinct("group").alias("n_groups"), F.count_distinct("entity_type", "entity_value").alias("matched"), F.sum("confidence").alias("confidence_sum")).filter((F.col("n_groups") >= need) & F.lit(bool(q.groups)))
     return by_event.join(event_filter(events, q, discourse).select("event_id", "doc_id"), "event_id").select("event_id", "doc_id", "matched", "confidence_sum")
 
@@ -104,7 +111,8 @@ def at_frontier(links: DataFrame, seed: DataFrame, q: GraphQuery) -> DataFrame:
 
 def expansion(links: DataFrame, events: DataFrame, seed: DataFrame, q: GraphQuery, discourse: DataFrame | None = None) -> DataFrame:
     """(event_id, doc_id, shared, confidence_sum): other events at the frontier, the best ``max_expanded``."""
-    at = at_frontier(links, seed, q)
+    near = links.filter(F.col("entity_type").isin(*q.frontier)) if q.frontier else links.limit(0)
+    at = wanted_links(near, events, q, discourse).join(frontier(links, seed, q).select("entity_id"), "entity_id", "left_semi")
     found = at.groupBy("event_id").agg(F.count(F.lit(1)).alias("shared"), F.sum("confidence").alias("confidence_sum"))
     found = found.join(seed.select("event_id"), "event_id", "left_anti").join(event_filter(events, q, discourse).select("event_id", "doc_id"), "event_id")
     return found.orderBy(F.desc("shared"), "event_id").limit(q.max_expanded).select("event_id", "doc_id", "shared", "confidence_sum")

@@ -89,3 +89,15 @@ def test_pairs_are_dealt_to_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
     for found in (ev.pair_prf(rows, rows, "k", "v"), ev.comembership(rows, rows, "k")):
         assert ", 11), REPARTITION_BY_NUM" in plan(found)
         assert found.first()["tp"] == 5 * 45
+
+
+def test_links_of_filtered_events_are_left_out_before_they_are_counted(spark):
+    from caseloom.operators import graph
+    from caseloom.plans import graph_plans
+
+    d = "/root/testdata/sf0.001"
+    assert "LeftSemi" in plan(graph_plans.graph_seed_or(spark, d))
+    read = plan(graph_plans.graph_frontier(spark, d))
+    assert "/seeds-" in read and "orders.parquet" not in read
+    rows, when = graph_plans.links(spark, d), graph_plans.events(spark, d)
+    assert graph.wanted_links(rows, when, graph.GraphQuery(groups=())) is rows
