@@ -201,3 +201,12 @@ def test_counted_redaction_skips_texts_without_a_match(spark):
     assert all(r["plain"] == r["counted"] for r in got.values())
     hits = {i: {k: n for k, n in r["hits"].asDict().items() if n} for i, r in got.items()}
     assert hits == {0: {"email": 2}, 1: {"phone": 1}, 2: {"wechat": 2}, 3: {}, 4: {}, 5: {"contact_name": 1, "phone": 1}, 6: {"name": 1}, 7: {"long_number": 1}}
+
+
+def test_mentions_lose_the_same_characters_as_by_the_plain_pattern(spark):
+    from caseloom.operators import annotation as an
+
+    every = spark.range(1, 0x3100).filter("id < 55296").select(F.concat(F.lit("aZ9街"), F.decode(F.unhex(F.lpad(F.hex("id"), 4, "0")), "UTF-16BE")).alias("s"))
+    plain = F.lower(F.regexp_replace("s", r"(?U)[\s\p{Punct}，。；：、！？（）《》“”‘’]+", ""))
+    assert every.filter(an._said(F.struct(F.col("s").alias("surface"), F.col("s").alias("canonical"))) != plain).count() == 0
+    assert "&&" in str(an._said(F.struct(F.lit("x").alias("surface"), F.lit("x").alias("canonical"))))
