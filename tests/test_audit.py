@@ -210,3 +210,48 @@ def test_mentions_lose_the_same_characters_as_by_the_plain_pattern(spark):
     plain = F.lower(F.regexp_replace("s", r"(?U)[\s\p{Punct}，。；：、！？（）《》“”‘’]+", ""))
     assert every.filter(an._said(F.struct(F.col("s").alias("surface"), F.col("s").alias("canonical"))) != plain).count() == 0
     assert "&&" in str(an._said(F.struct(F.lit("x").alias("surface"), F.lit("x").alias("canonical"))))
+
+
+def _gold_rows(spark, *rows):
+    mention = lambda s: [(s, s, "title_clean", s)] if s else []
+    made = [(doc, None if doc is None else f"h{doc}", "ann", [("problem", "current", mention(o), mention(p), [], []) for o, p in issues]) for doc, issues in rows]
+    from caseloom.operators import annotation as an
+
+    return spark.createDataFrame(made, f"doc_id long, content_hash string, annotator string, issues {an.ISSUES}")
+
+
+def test_ascii_mentions_are_not_searched_by_unicode_classes(spark):
+    from caseloom.operators import annotation as an
+
+    every = spark.range(1, 128).select(F.concat(F.lit("aZ9"), F.char(F.col("id")), F.lit("b")).alias("s"))
+    said = an._said(F.struct(F.col("s").alias("surface"), F.col("s").alias("canonical")))
+    plain = F.lower(F.regexp_replace("s", r"(?U)[\s\p{Punct}，。；：、！？（）《》“”‘’]+", ""))
+    assert every.filter(said != plain).count() == 0
+    assert "octet_length" in every.select(said)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_adjudication_deals_each_side_once(spark):
+    from caseloom.operators import annotation as an
+
+    rows = [(1, [("A-b", "x"), ("c", "y")]), (2, [("a", "x")]), (3, []), (None, [("n", "")])]
+    left = _gold_rows(spark, *rows).groupBy("doc_id").agg(F.max("content_hash").alias("content_hash"), F.max("annotator").alias("annotator"), F.max("issues").alias("issues"))
+    other = [(1, [("c", "y"), ("ab", "X")]), (2, [("a", "z")]), (3, []), (None, [("m", "")])]
+    right = _gold_rows(spark, *other).groupBy("doc_id").agg(F.max("content_hash").alias("content_hash"), F.lit("bob").alias("annotator"), F.max("issues").alias("issues"))
+    differs = an.differing(left, right)
+    assert [r["doc_id"] for r in differs.collect()] == [r["doc_id"] for r in an.conflicts(an.compare(left, right)).collect()] == [2]
+    fixed = differs.select(*an.IDENTITY, F.col("right").alias("issues"), F.lit("eve").alias("adjudicator"), F.lit("seen").alias("notes"))
+    final = an.adjudicate(left, right, fixed, "eve")
+    got = {r["doc_id"]: ([(i["objects"][0]["surface"], i["predicates"][0]["surface"] if i["predicates"] else "") for i in r["issues"]], r["notes"]) for r in final.collect()}
+    agreed = "exact_double_annotation_agreement"
+    assert got == {1: ([("A-b", "x"), ("c", "y")], agreed), 2: ([("a", "z")], "seen"), 3: ([], agreed), None: ([("n", "")], agreed)}
+    plan = final._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 4  # each side where it is made, named twice; never again by identity
+
+    for bad, code in (
+        (fixed.filter("false"), "conflict_not_resolved"), (fixed.withColumns({"doc_id": F.lit(1), "content_hash": F.lit("h1")}).unionByName(fixed), "conflict_identity_sets_differ"),
+        (fixed.withColumn("notes", F.lit(" ")), "conflict_resolution_missing_notes"), (fixed.withColumn("adjudicator", F.lit("bob2")), "conflict_adjudicator_mismatch"), (fixed.unionByName(fixed), "invalid_or_duplicate_identity"),
+    ):
+        with pytest.raises(Exception, match=code):
+            an.adjudicate(left, right, bad, "eve").collect()
+    with pytest.raises(Exception, match="annotation_identity_sets_differ"):
+        an.adjudicate(left, right.filter("doc_id <> 3"), fixed, "eve").collect()
