@@ -21,6 +21,8 @@ from caseloom.session import numbered, settle, values
 # --- fixed values: entity types that may carry an expansion ---
 FRONTIER_TYPES = ("problem_object", "problem_behavior", "area", "street", "road", "intersection", "poi", "case_type", "time_month", "department", "lnglat")
 SEED_POINTS, SPACE_POINTS, EXPANSION_COST = 10.0, 3.0, 5.0
+#: Groups that one column of bits can hold.
+BITS = 62
 
 
 @dataclass(frozen=True)
@@ -89,12 +91,18 @@ def seeds(links: DataFrame, events: DataFrame, q: GraphQuery, discourse: DataFra
 
     AND asks for every group, also for one without values, which no event
     hits. Matches and confidence count over the link rows of all groups. Links
-    of events that the filters drop are left out before they are counted.
+    of events that the filters drop are left out before they are counted, and
+    groups are counted as bits, for distinct counts would repeat every row.
     """
     need = len(q.groups) if q.operator.upper() == "AND" else 1
-    hit = wanted_links(seed_hits(links, q), events, q, discourse)
-    by_event = hit.groupBy("event_id").agg(F.count_distinct("group").alias("n_groups"), F.count_distinct("entity_type", "entity_value").alias("matched"), F.sum("confidence").alias("confidence_sum")).filter((F.col("n_groups") >= need) & F.lit(bool(q.groups)))
-    return by_event.join(event_filter(events, q, discourse).select("event_id", "doc_id"), "event_id").select("event_id", "doc_id", "matched", "confidence_sum")
+    kept = event_filter(events, q, discourse).select("event_id").hint("shuffle_hash")  # hits stay unsorted
+    hit = seed_hits(links, q).join(kept, "event_id", "left_semi")
+    words = range(len(q.groups) // BITS + 1)
+    bit = lambda w: F.when(F.floor(F.col("group") / BITS) == w, F.expr(f"shiftleft(1L, group % {BITS})")).otherwise(F.lit(0).cast("long"))
+    by_entity = hit.groupBy("event_id", "doc_id", "entity_type", "entity_value").agg(*(F.bit_or(bit(w)).alias(f"g{w}") for w in words), F.sum("confidence").alias("confidence_sum"))
+    by_event = by_entity.groupBy("event_id", "doc_id").agg(*(F.bit_or(f"g{w}").alias(f"g{w}") for w in words), F.count("entity_value").alias("matched"), F.sum("confidence_sum").alias("confidence_sum"))
+    n_groups = sum((F.bit_count(f"g{w}") for w in words), F.lit(0))
+    return by_event.filter((n_groups >= need) & F.lit(bool(q.groups))).select("event_id", "doc_id", "matched", "confidence_sum")
 
 
 def frontier(links: DataFrame, seed: DataFrame, q: GraphQuery) -> DataFrame:

@@ -116,3 +116,19 @@ def test_ranked_graph_queries_write_the_months_lines_once(spark):
     cells = ("event_id", "entity_id", "ordinal", "confidence", "source_channel")
     assert sorted(rows.select(*cells).collect()) == sorted(graph.wanted_links(everything, graph_plans.events(spark, d), q).select(*cells).collect())
     assert when.count() == orders.count() == graph.event_filter(graph_plans.events(spark, d), q).count() > 0
+
+
+def test_seed_groups_are_counted_without_repeating_rows(spark):
+    from caseloom.operators import graph
+
+    n = 70
+    found = spark.range(n).select(F.lit("e").alias("event_id"), F.lit("d").alias("doc_id"), F.lit("t").alias("entity_type"), F.col("id").cast("string").alias("entity_value"), F.col("id").cast("string").alias("normalized_value"), F.lit(0.5).alias("confidence"))
+    found = found.unionByName(found.filter("normalized_value = '3'")).unionByName(found.filter("normalized_value = '4'").withColumn("entity_value", F.lit(None).cast("string")))
+    when = values(spark, [("e", "d", "2024-01"), ("f", "g", "2024-01")], "event_id", "doc_id", "event_month")
+    groups = tuple(("t", (str(i),)) for i in range(n))
+    out = graph.seeds(found, when, graph.GraphQuery(groups=(*groups, ("t", ("3",)))))
+    assert "Expand" not in plan(out) and "LeftSemi" in plan(out)
+    assert [tuple(r) for r in out.collect()] == [("e", "d", n, (n + 4) * 0.5)]  # the value of two groups counts once, its rows' confidence for each group
+    assert graph.seeds(found, when, graph.GraphQuery(groups=(*groups, ("t", ())))).count() == 0
+    assert graph.seeds(found, when, graph.GraphQuery(groups=(*groups, ("t", ("none",))), operator="OR")).count() == 1
+    assert graph.seeds(found, when, graph.GraphQuery(groups=groups, month_from="2024-02")).count() == 0
